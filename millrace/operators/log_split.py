@@ -145,8 +145,8 @@ def _message(topic: str, value: Column) -> Column:
     return F.struct(F.lit(topic).alias("topic"), value.alias("value"))
 
 
-def fan_out(parsed: DataFrame) -> DataFrame:
-    """All routes at once, as ``(topic, key, value)``.
+def fan_out(parsed: DataFrame, *extra: str) -> DataFrame:
+    """All routes at once, as ``(topic, key, value)`` and the message columns ``extra``.
 
     Each row builds the messages it gives as one array, so the input is read
     and parsed once; five filtered branches would read it five times. The key
@@ -180,6 +180,6 @@ def fan_out(parsed: DataFrame) -> DataFrame:
         .when(F.col("fate") == "rejected", F.array(_message(REJECTED_TOPIC, F.col("value"))))
         .otherwise(F.concat(pages, start))
     )
-    return parsed.select(F.col("j")["common"]["mid"].alias("key"), F.explode(out).alias("m")).select(
-        "m.topic", "key", "m.value"
-    )
+    key = F.col("j")["common"]["mid"].alias("key")
+    each = parsed.select(key, *extra, F.explode(out).alias("m"))
+    return each.select("m.topic", "key", "m.value", *extra)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from millrace.functions.exprs import (
     completed_years,
@@ -14,7 +15,7 @@ from millrace.functions.parse import json_text
 from millrace.operators import cdc, dau, log_split, orders
 from millrace.operators.keyed import end_offsets as end_offsets_of
 from millrace.plans import standins as given
-from millrace.schemas import ORDER_WIDE
+from millrace.schemas import ORDER_WIDE, plus
 from millrace.session import shared_folder
 from millrace.sinks.batches import read_latest, write_batch
 from millrace.sources.tables import table
@@ -277,8 +278,8 @@ def sink_by_day(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark) + "/order_wide"
     wide = orders.with_wide_day(order_wide(spark, sf))
     for _ in range(2):
-        write_batch(wide, 0, path, "dt")
-    schema = ORDER_WIDE.__class__(ORDER_WIDE.fields).add("dt", "string")
+        write_batch(wide, "first", path, "dt")
+    schema = plus(ORDER_WIDE, dt=StringType())
     stored = read_latest(spark, path, schema, ["dt", "detail_id"], _WRITES[1:])
     return stored.groupBy("dt").agg(
         F.count("*").alias("n"), F.sum("sku_num").alias("sku_num"), F.max("detail_id").alias("last_id")

@@ -16,6 +16,11 @@ def _struct(**fields) -> StructType:
     return StructType([StructField(name, kind, True) for name, kind in fields.items()])
 
 
+def plus(schema: StructType, **fields) -> StructType:
+    """A new schema with more fields; ``StructType.add`` would change the old one."""
+    return StructType([*schema.fields, *_struct(**fields).fields])
+
+
 S, L, D = StringType(), LongType(), DoubleType()
 
 # One message of a topic. A Kafka source yields these columns; file-backed
@@ -147,3 +152,8 @@ ORDER_WIDE = _struct(
 DIMENSION_ROW = _struct(
     table=S, id=S, op=S, data=S, timestamp=TimestampType(), partition=IntegerType(), offset=L
 )
+
+# The order wide table as stored: each row's day, and when its two sides arrived.
+STORED_ORDER_WIDE = plus(
+    ORDER_WIDE, header_at=TimestampType(), line_at=TimestampType(), dt=S
+)

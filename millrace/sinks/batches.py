@@ -11,22 +11,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import StringType, StructType
 
 from millrace.operators.keyed import latest_per_key
+from millrace.schemas import plus
 from millrace.sources.tables import read_or_empty
 
-BATCH = "batch_id"
+BATCH = "batch"
 
 
-def write_batch(rows: DataFrame, batch_id: int, path: str, partition: str) -> None:
+def batch_name(spark: SparkSession, batch_id: int) -> str:
+    """A name for a micro-batch, the same whenever it is repeated. Numbers
+    start over with a new checkpoint, so the query's own id is part of it."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}-{batch_id}"
+
+
+def write_batch(rows: DataFrame, batch: str, path: str, partition: str) -> None:
     """Store the rows of one batch; an empty batch writes nothing.
 
     The rebalance hint gives each partition value few, evenly sized files and
     still splits the one value that most rows usually share, such as today.
     """
     (
-        rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        rows.withColumn(BATCH, F.lit(batch))
         .hint("rebalance", partition)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -35,13 +43,9 @@ def write_batch(rows: DataFrame, batch_id: int, path: str, partition: str) -> No
     )
 
 
-def stored_schema(schema: StructType) -> StructType:
-    return StructType(schema.fields).add(BATCH, LongType())
-
-
 def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All stored rows with their ``batch_id``, duplicates of a key included."""
-    return read_or_empty(spark, path, stored_schema(schema))
+    """All stored rows with the batch that wrote them, every version of a key."""
+    return read_or_empty(spark, path, plus(schema, batch=StringType()))
 
 
 def read_latest(
@@ -49,11 +53,10 @@ def read_latest(
     path: str,
     schema: StructType,
     keys: Sequence[str],
-    order: Sequence[str] = (),
+    order: Sequence[str],
 ) -> DataFrame:
-    """The current row of each key: the last batch's, then highest in ``order``."""
-    rows = read_batches(spark, path, schema)
-    return latest_per_key(rows, keys, [BATCH, *order]).select(schema.fieldNames())
+    """The current row of each key: the highest in ``order``."""
+    return latest_per_key(read_batches(spark, path, schema).drop(BATCH), keys, order)
 
 
 def publish(current: DataFrame, path: str, partition: str = "dt") -> None:

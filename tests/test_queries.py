@@ -3,7 +3,7 @@ from compare import assert_same, connect
 
 import __spark_entry__ as driver
 
-FOLDER = "/root/testdata/sf0.01"
+FOLDER = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
