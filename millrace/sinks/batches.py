@@ -56,7 +56,8 @@ def read_latest(
     order: Sequence[str],
 ) -> DataFrame:
     """The current row of each key: the highest in ``order``."""
-    return latest_per_key(read_batches(spark, path, schema).drop(BATCH), keys, order)
+    rows = read_batches(spark, path, schema).select(*schema.fieldNames())
+    return latest_per_key(rows, keys, order)
 
 
 def publish(current: DataFrame, path: str, partition: str = "dt") -> None:
@@ -70,3 +71,17 @@ def publish(current: DataFrame, path: str, partition: str = "dt") -> None:
         .partitionBy(partition)
         .parquet(path)
     )
+
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    keys: Sequence[str],
+    order: Sequence[str],
+    into: str,
+    partition: str,
+) -> None:
+    """Write the current rows of a batch table to a new folder, as its first
+    batch. Jobs started on that folder read few large files again."""
+    write_batch(read_latest(spark, path, schema, keys, order), "compacted", into, partition)

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.operators import cdc, dau, log_split, orders
 from millrace.operators.keyed import latest_per_key
+from millrace.operators.skew import BROADCAST_ROWS, at_most
 from millrace.schemas import DAU_INFO, DIMENSION_ROW, MESSAGE, STORED_ORDER_WIDE
 from millrace.sinks.batches import BATCH, batch_name, read_batches, read_latest, write_batch
 from millrace.sinks.routes import as_messages, route_to_files
@@ -90,6 +91,26 @@ def dimensions(spark: SparkSession, at: Warehouse, on_delete: str = "keep") -> t
     return cdc.user_info(users), cdc.base_province(provinces)
 
 
+def dimensions_for(
+    facts: DataFrame, at: Warehouse, small: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Both dimensions as they are now, for a batch of facts. A ``small`` batch
+    may be broadcast: then no other rows than those it refers to are shuffled."""
+    rows = read_batches(facts.sparkSession, at.dimensions, DIMENSION_ROW)
+
+    def needed(table: str, key: str) -> DataFrame:
+        versions = rows.where(F.col("table") == table)
+        if small:
+            ids = facts.select(F.col(key).alias("id")).distinct()
+            versions = versions.join(F.broadcast(ids), "id", "left_semi")
+        return cdc.current_rows(versions)
+
+    return (
+        cdc.user_info(needed("user_info", "user_id")),
+        cdc.base_province(needed("base_province", "province_id")),
+    )
+
+
 def dau_rows(spark: SparkSession, at: Warehouse) -> DataFrame:
     return read_batches(spark, at.dau_info, DAU_INFO).drop(BATCH)
 
@@ -161,17 +182,20 @@ def daily_actives(
         name = batch_name(spark, batch_id)
         firsts = firsts.persist()
         try:
+            small = at_most(firsts, BROADCAST_ROWS)
             if compare:
                 # one value per day: bounded by the calendar, not by the rows
                 days = [row.dt for row in firsts.select("dt").distinct().collect()]
                 stored = read_batches(spark, at.dau_info, DAU_INFO).where(
                     F.col("dt").isin(days) & (F.col(BATCH) != name)
                 )
-                fresh = dau.not_yet_stored(firsts, stored)
+                fresh = dau.not_yet_stored(firsts, stored, small)
             else:
                 fresh = firsts
-            users, provinces = dimensions(spark, at)
-            wide = dau.dau_info(fresh, users, provinces, as_of, misses="dau_dimension_misses")
+            users, provinces = dimensions_for(firsts, at, small)
+            wide = dau.dau_info(
+                fresh, users, provinces, as_of, small or None, misses="dau_dimension_misses"
+            )
             write_batch(wide, name, at.dau_info, "dt")
         finally:
             firsts.unpersist()
@@ -209,14 +233,22 @@ def widen_orders(
     """Header and line messages to the order wide table, by line and day."""
 
     def work(pairs: DataFrame, batch_id: int) -> None:
-        users, provinces = dimensions(pairs.sparkSession, at)
-        wide = orders.merge(
-            orders.enrich_pairs(pairs, users, provinces, as_of, misses="order_dimension_misses"),
-            F.col("header.at").alias("header_at"),
-            F.col("line.at").alias("line_at"),
-        )
-        latest = latest_per_key(orders.with_wide_day(wide), ["dt", "detail_id"], WIDE_ARRIVAL)
-        write_batch(latest, batch_name(pairs.sparkSession, batch_id), at.order_wide, "dt")
+        name = batch_name(pairs.sparkSession, batch_id)
+        pairs = pairs.persist()
+        try:
+            small = at_most(pairs, BROADCAST_ROWS)
+            users, provinces = dimensions_for(pairs.select("header.*"), at, small)
+            wide = orders.merge(
+                orders.enrich_pairs(
+                    pairs, users, provinces, as_of, small or None, misses="order_dimension_misses"
+                ),
+                F.col("header.at").alias("header_at"),
+                F.col("line.at").alias("line_at"),
+            )
+            latest = latest_per_key(orders.with_wide_day(wide), ["dt", "detail_id"], WIDE_ARRIVAL)
+            write_batch(latest, name, at.order_wide, "dt")
+        finally:
+            pairs.unpersist()
 
     arrival = F.col("timestamp").alias("at")
     parsed_headers = orders.parse_headers(header_messages)
