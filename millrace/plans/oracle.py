@@ -263,4 +263,22 @@ ORACLE = {
         SELECT 'ODS_BASE_LOG' AS topic, (user_id % 4)::INTEGER AS "partition",
                max(event_id) + 1 AS end_offset
         FROM events GROUP BY ALL""",
+    "stream_log_routes": f"""
+        SELECT topic, count(*) AS n, sum(ts)::BIGINT AS ts_sum FROM ({FANOUT}) GROUP BY topic""",
+    "stream_changes": f"""
+        SELECT topic, count(*) AS n, sum(key)::BIGINT AS key_sum FROM (
+          SELECT 'DWD_' || upper("table") || '_' || {OP} AS topic, key
+          FROM ({CHANGES}) WHERE {OP} IS NOT NULL
+            AND "table" IN ('order_info', 'order_detail', 'base_province')
+          UNION ALL
+          SELECT 'DIM:' || "table", key FROM ({CHANGES})
+          WHERE {OP} IS NOT NULL AND "table" IN ('user_info', 'base_province'))
+        GROUP BY topic""",
+    "stream_dau": DAU_WIDE,
+    "stream_orders": f"""
+        SELECT l.create_time[1:10] AS dt, l.id AS detail_id, h.id AS order_id, h.order_status,
+               h.create_date, h.user_age, h.province_name, epoch_ms({LINE_AT}) AS line_ms
+        FROM ({WIDE_HEADERS}) h JOIN ({LINES}) l ON h.id = l.order_id
+        WHERE {LINE_AT} BETWEEN {HEADER_AT} - INTERVAL 24 HOUR AND {HEADER_AT} + INTERVAL 24 HOUR
+        QUALIFY row_number() OVER (PARTITION BY l.create_time[1:10], l.id ORDER BY {LINE_AT} DESC) = 1""",
 }
