@@ -26,7 +26,10 @@ def text_leaves(kind: DataType) -> DataType:
 
 
 def cast_leaves(col: Column, kind: DataType) -> Column:
-    """Text leaves to their declared types; what cannot be read becomes null."""
+    """Text leaves to their declared types; what cannot be read becomes null.
+    Parts that hold text alone are left as they are."""
+    if kind == text_leaves(kind):
+        return col
     if isinstance(kind, StructType):
         fields = [cast_leaves(col[f.name], f.dataType).alias(f.name) for f in kind]
         return F.when(col.isNotNull(), F.struct(*fields))
@@ -35,8 +38,6 @@ def cast_leaves(col: Column, kind: DataType) -> Column:
     if isinstance(kind, LongType):
         # 1.5 and 1e3 go through double; whole numbers must not lose digits there
         return F.coalesce(col.try_cast("bigint"), col.try_cast("double").try_cast("bigint"))
-    if isinstance(kind, StringType):
-        return col
     return col.try_cast(kind)
 
 

@@ -276,9 +276,9 @@ ORACLE = {
         GROUP BY topic""",
     "stream_dau": DAU_WIDE,
     "stream_orders": f"""
-        SELECT l.create_time[1:10] AS dt, l.id AS detail_id, h.id AS order_id, h.order_status,
+        SELECT strftime({LINE_AT}, '%Y-%m-%d') AS dt, l.id AS detail_id, h.id AS order_id, h.order_status,
                h.create_date, h.user_age, h.province_name, epoch_ms({LINE_AT}) AS line_ms
         FROM ({WIDE_HEADERS}) h JOIN ({LINES}) l ON h.id = l.order_id
         WHERE {LINE_AT} BETWEEN {HEADER_AT} - INTERVAL 24 HOUR AND {HEADER_AT} + INTERVAL 24 HOUR
-        QUALIFY row_number() OVER (PARTITION BY l.create_time[1:10], l.id ORDER BY {LINE_AT} DESC) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY strftime({LINE_AT}, '%Y-%m-%d'), l.id ORDER BY {LINE_AT} DESC) = 1""",
 }

@@ -186,7 +186,8 @@ def dau_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 def dau_restore(spark: SparkSession, sf: str) -> DataFrame:
     """Days before the cut are stored whole, later ones for new devices alone."""
-    firsts = _firsts(spark, sf)
+    entries = _entries(spark, sf).select("dt", "mid", "ts", "offset", "is_new")
+    firsts = dau.first_of_day(entries.dropna(subset=dau.KEY), ("ts", "offset"))
     stored = firsts.where((F.col("dt") < "2024-01-16") | (F.col("is_new") == "1"))
     return dau.not_yet_stored(firsts, stored).select("dt", "mid", "offset")
 
@@ -264,11 +265,11 @@ _WRITES = [
 def sink_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Wide rows, then those of finished orders again with a new status."""
     wide = orders.with_wide_day(order_wide(spark, sf))
-    first = wide.withColumn("version", F.lit(1))
-    again = first.where("order_status = 'F'").withColumns(
-        {"version": F.lit(2), "order_status": F.lit("S")}
+    times = F.when(F.col("order_status") == "F", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    written = wide.withColumn("version", F.explode(times)).withColumn(
+        "order_status", F.when(F.col("version") == 2, "S").otherwise(F.col("order_status"))
     )
-    return orders.latest_wide(first.unionByName(again), _WRITES).select(
+    return orders.latest_wide(written, _WRITES).select(
         "dt", "detail_id", "order_id", "sku_id", "order_status", "version", "order_price", "user_id"
     )
 

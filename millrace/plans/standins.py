@@ -273,5 +273,6 @@ def header_arrivals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def line_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines, created as they arrive, over three days."""
     at = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(secs=F.col("sku_id") * 104729 % 259200)
-    return lines(spark, sf).withColumn("at", at)
+    return lines(spark, sf).withColumn("at", at).withColumn("create_time", _time_text(F.col("at")))
