@@ -31,8 +31,7 @@ def cast_leaves(col: Column, kind: DataType) -> Column:
     if kind == text_leaves(kind):
         return col
     if isinstance(kind, StructType):
-        fields = [cast_leaves(col[f.name], f.dataType).alias(f.name) for f in kind]
-        return F.when(col.isNotNull(), F.struct(*fields))
+        return F.when(col.isNotNull(), F.struct(*cast_fields(col, kind)))
     if isinstance(kind, ArrayType):
         return F.transform(col, lambda item: cast_leaves(item, kind.elementType))
     if isinstance(kind, LongType):
@@ -41,6 +40,10 @@ def cast_leaves(col: Column, kind: DataType) -> Column:
     return col.try_cast(kind)
 
 
+def cast_fields(record: Column, schema: StructType) -> list[Column]:
+    return [cast_leaves(record[f.name], f.dataType).alias(f.name) for f in schema]
+
+
 def with_json(df: DataFrame, schema: StructType, value: str = "value", into: str = "j") -> DataFrame:
     """Add ``into``: the typed record, or null where the text is not one JSON object.
 
@@ -55,7 +58,8 @@ def with_json(df: DataFrame, schema: StructType, value: str = "value", into: str
     raw = f"_{into}_text"
     parsed = df.withColumn(raw, F.explode(F.array(text)))
     readable = F.col(raw).isNotNull() & F.col(raw)[CORRUPT].isNull()
-    return parsed.withColumn(into, F.when(readable, cast_leaves(F.col(raw), schema))).drop(raw)
+    record = F.struct(*cast_fields(F.col(raw), schema))
+    return parsed.withColumn(into, F.when(readable, record)).drop(raw)
 
 
 def zero_for_missing(record: Column, schema: StructType, keys: tuple[str, ...] = ()) -> list[Column]:

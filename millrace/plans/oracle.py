@@ -255,9 +255,11 @@ ORACLE = {
         FROM ({ORDER_WIDE})
         QUALIFY row_number() OVER (PARTITION BY create_time[1:10], detail_id ORDER BY {WRITES}) = 1""",
     "sink_by_day": f"""
-        SELECT dt, count(*) AS n, sum(sku_num)::BIGINT AS sku_num, max(detail_id) AS last_id
-        FROM (SELECT *, create_time[1:10] AS dt FROM ({ORDER_WIDE})
-              QUALIFY row_number() OVER (PARTITION BY create_time[1:10], detail_id ORDER BY {WRITES}) = 1)
+        SELECT dt, count(*) AS n, sum(sku_num)::BIGINT AS sku_num, max(id) AS last_id
+        FROM (SELECT *, strftime({LINE_AT}, '%Y-%m-%d') AS dt FROM ({LINES}) l
+              WHERE order_id IN (SELECT o_orderkey FROM orders)
+              QUALIFY row_number() OVER (
+                PARTITION BY strftime({LINE_AT}, '%Y-%m-%d'), id ORDER BY {WRITES}) = 1)
         GROUP BY dt""",
     "end_offsets": """
         SELECT 'ODS_BASE_LOG' AS topic, (user_id % 4)::INTEGER AS "partition",

@@ -221,16 +221,20 @@ def order_outer(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def order_wide(spark: SparkSession, sf: str) -> DataFrame:
+def _wide(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
     return orders.order_wide(
         given.headers(spark, sf),
-        given.lines(spark, sf),
+        lines,
         given.users(spark, sf),
         given.provinces(spark, sf),
         given.AS_OF,
     )
 
 
+def order_wide(spark: SparkSession, sf: str) -> DataFrame:
+    return _wide(spark, sf, given.lines(spark, sf))
+
+
 def order_late(spark: SparkSession, sf: str) -> DataFrame:
     pairs = orders.pair(given.header_arrivals(spark, sf), given.line_arrivals(spark, sf))
     near = orders.within_lifetime(pairs)
@@ -277,7 +281,7 @@ def sink_upsert(spark: SparkSession, sf: str) -> DataFrame:
 def sink_by_day(spark: SparkSession, sf: str) -> DataFrame:
     """Stored per day by the sink itself, written twice as a repeated batch, read back."""
     path = shared_folder(spark) + "/order_wide"
-    wide = orders.with_wide_day(order_wide(spark, sf))
+    wide = orders.with_wide_day(_wide(spark, sf, given.line_arrivals(spark, sf).drop("at")))
     for _ in range(2):
         write_batch(wide, "first", path, "dt")
     schema = plus(ORDER_WIDE, dt=StringType())

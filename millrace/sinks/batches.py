@@ -15,7 +15,7 @@ from pyspark.sql.types import StringType, StructType
 
 from millrace.operators.keyed import latest_per_key
 from millrace.schemas import plus
-from millrace.sources.tables import read_or_empty
+from millrace.sources.tables import read_or_empty, read_partitions_or_empty
 
 BATCH = "batch"
 
@@ -48,6 +48,13 @@ def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return read_or_empty(spark, path, plus(schema, batch=StringType()))
 
 
+def read_partitions(
+    spark: SparkSession, path: str, schema: StructType, partition: str, values: Sequence[str]
+) -> DataFrame:
+    """As ``read_batches``, of the given partition values alone."""
+    return read_partitions_or_empty(spark, path, plus(schema, batch=StringType()), partition, values)
+
+
 def read_latest(
     spark: SparkSession,
     path: str,

@@ -1,5 +1,7 @@
 """Batch reads: parquet tables, and tables that may not exist yet."""
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -19,6 +21,21 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
         return spark.createDataFrame([], schema)
 
 
+def read_partitions_or_empty(
+    spark: SparkSession, path: str, schema: StructType, partition: str, values: Sequence[str]
+) -> DataFrame:
+    """As ``read_or_empty``, of the given partition values alone. Their folders
+    are the only ones listed, however many others the table has."""
+    folders = f"{path}/{partition}={{{','.join(values)}}}"
+    reader = spark.read.schema(schema).option("basePath", path)
+    try:
+        return reader.parquet(folders)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def table_list(spark: SparkSession, path: str) -> DataFrame:
     """A list of table names. Called per batch, it follows the stored list."""
     return read_or_empty(spark, path, StructType().add("table", "string"))

@@ -14,8 +14,15 @@ from millrace.operators import cdc, dau, log_split, orders
 from millrace.operators.keyed import latest_per_key
 from millrace.operators.skew import BROADCAST_ROWS, at_most
 from millrace.schemas import DAU_INFO, DIMENSION_ROW, MESSAGE, STORED_ORDER_WIDE
-from millrace.sinks.batches import BATCH, batch_name, read_batches, read_latest, write_batch
-from millrace.sinks.routes import as_messages, route_to_files
+from millrace.sinks.batches import (
+    BATCH,
+    batch_name,
+    read_batches,
+    read_latest,
+    read_partitions,
+    write_batch,
+)
+from millrace.sinks.routes import as_messages, batch_to_kafka, route_to_files, route_to_kafka
 from millrace.sources.tables import table_list
 from millrace.streaming.joins import SALTS, stream_first_of_day, stream_pairs
 
@@ -83,11 +90,14 @@ def _each_batch(stream: DataFrame, work, checkpoint: str) -> DataStreamWriter:
 # --- current state of the tables ---
 
 
+def _versions(spark: SparkSession, at: Warehouse, table: str) -> DataFrame:
+    return read_partitions(spark, at.dimensions, DIMENSION_ROW, "table", [table])
+
+
 def dimensions(spark: SparkSession, at: Warehouse, on_delete: str = "keep") -> tuple[DataFrame, DataFrame]:
     """Users and provinces as they are now."""
-    rows = read_batches(spark, at.dimensions, DIMENSION_ROW)
-    users = cdc.current_rows(rows.where(F.col("table") == "user_info"), on_delete)
-    provinces = cdc.current_rows(rows.where(F.col("table") == "base_province"), on_delete)
+    users = cdc.current_rows(_versions(spark, at, "user_info"), on_delete)
+    provinces = cdc.current_rows(_versions(spark, at, "base_province"), on_delete)
     return cdc.user_info(users), cdc.base_province(provinces)
 
 
@@ -96,10 +106,9 @@ def dimensions_for(
 ) -> tuple[DataFrame, DataFrame]:
     """Both dimensions as they are now, for a batch of facts. A ``small`` batch
     may be broadcast: then no other rows than those it refers to are shuffled."""
-    rows = read_batches(facts.sparkSession, at.dimensions, DIMENSION_ROW)
 
     def needed(table: str, key: str) -> DataFrame:
-        versions = rows.where(F.col("table") == table)
+        versions = _versions(facts.sparkSession, at, table)
         if small:
             ids = facts.select(F.col(key).alias("id")).distinct()
             versions = versions.join(F.broadcast(ids), "id", "left_semi")
@@ -125,19 +134,30 @@ def order_wide_rows(spark: SparkSession, at: Warehouse) -> DataFrame:
 
 
 def split_logs(
-    messages: DataFrame, at: Warehouse, trigger: Trigger = EVERY_5_SECONDS
+    messages: DataFrame,
+    at: Warehouse,
+    trigger: Trigger = EVERY_5_SECONDS,
+    servers: str | None = None,
 ) -> list[StreamingQuery]:
-    """Raw app logs to their five routes, and what cannot be read to a sixth."""
+    """Raw app logs to their five routes, and what cannot be read to a sixth:
+    topics of the Kafka ``servers`` when given, else folders."""
     routed = log_split.fan_out(log_split.parse_log(messages), *ARRIVAL)
     name = "split_logs"
-    return [_start(route_to_files(routed, at.log_routes, at.checkpoint(name)), name, trigger)]
+    if servers:
+        writer = route_to_kafka(routed, servers, at.checkpoint(name))
+    else:
+        writer = route_to_files(routed, at.log_routes, at.checkpoint(name))
+    return [_start(writer, name, trigger)]
 
 
 def split_changes(
-    messages: DataFrame, at: Warehouse, trigger: Trigger = EVERY_5_SECONDS
+    messages: DataFrame,
+    at: Warehouse,
+    trigger: Trigger = EVERY_5_SECONDS,
+    servers: str | None = None,
 ) -> list[StreamingQuery]:
-    """Change records to fact routes and dimension rows, by the table lists as
-    they stand at each batch."""
+    """Change records to fact routes, as for logs, and to dimension rows, by the
+    table lists as they stand at each batch."""
 
     def work(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -149,7 +169,10 @@ def split_changes(
             routed = cdc.fact_messages(changes, facts, *ARRIVAL).unionByName(
                 cdc.rejected_messages(changes, dims, *ARRIVAL)
             )
-            write_batch(as_messages(routed), name, at.routes, "topic")
+            if servers:
+                batch_to_kafka(routed, servers)
+            else:
+                write_batch(as_messages(routed), name, at.routes, "topic")
             write_batch(cdc.dimension_rows(changes, dims), name, at.dimensions, "table")
         finally:
             changes.unpersist()
@@ -186,9 +209,8 @@ def daily_actives(
             if compare:
                 # one value per day: bounded by the calendar, not by the rows
                 days = [row.dt for row in firsts.select("dt").distinct().collect()]
-                stored = read_batches(spark, at.dau_info, DAU_INFO).where(
-                    F.col("dt").isin(days) & (F.col(BATCH) != name)
-                )
+                stored = read_partitions(spark, at.dau_info, DAU_INFO, "dt", days)
+                stored = stored.where(F.col(BATCH) != name)
                 fresh = dau.not_yet_stored(firsts, stored, small)
             else:
                 fresh = firsts

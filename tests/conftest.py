@@ -16,7 +16,11 @@ def spark():
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # compiling a plan costs small tests more than it saves them
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="millrace-test-"))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()

@@ -6,11 +6,13 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from millrace.functions import exprs
 from millrace.functions.parse import with_json
 from millrace.operators import cdc, dau, keyed, log_split, orders, skew
+from millrace.operators.enrich import with_user_and_province
 from millrace.schemas import APP_LOG, MESSAGE, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE
 from millrace.session import shared_folder
 from millrace.sinks import batches
@@ -333,3 +335,13 @@ def test_batches_repeat_safely_and_the_last_write_wins(spark):
     plain = shared_folder(spark)
     batches.publish(got, plain)
     assert sorted((r.dt, r.k) for r in spark.read.parquet(plain).collect()) == [("d1", 1), ("d1", 3), ("d2", 2)]
+
+
+def test_misses_are_observed(spark):
+    facts = spark.createDataFrame([("1", "7"), ("2", "7"), (None, "8")], "user_id string, province_id string")
+    users = spark.createDataFrame([("1", "F", "2000-01-01")], "id string, gender string, birthday string")
+    provinces = spark.createDataFrame([("7", "N", "n", "n-1", "07")], "id string, name string, iso_code string, iso_3166_2 string, area_code string")
+    seen = Observation("misses")
+    wide = with_user_and_province(facts, users, provinces, misses=seen)
+    assert wide.count() == 3
+    assert seen.get == {"users_missing": 2, "provinces_missing": 1}
