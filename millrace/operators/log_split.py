@@ -114,12 +114,12 @@ def _pages(parsed: DataFrame) -> DataFrame:
     return _logs(parsed).where(F.col("j")["page"].isNotNull())
 
 
-def error_log(parsed: DataFrame) -> DataFrame:
-    return parsed.where("fate = 'error'").select("value")
+def error_log(parsed: DataFrame, *extra: str) -> DataFrame:
+    return parsed.where("fate = 'error'").select("value", *extra)
 
 
-def rejected_log(parsed: DataFrame) -> DataFrame:
-    return parsed.where("fate = 'rejected'").select("value")
+def rejected_log(parsed: DataFrame, *extra: str) -> DataFrame:
+    return parsed.where("fate = 'rejected'").select("value", *extra)
 
 
 def page_log(parsed: DataFrame, *extra: str | Column) -> DataFrame:

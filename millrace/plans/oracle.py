@@ -211,6 +211,9 @@ ORACLE = {
     "log_error_split": f"""
         SELECT 'mid_' || user_id AS mid, k::BIGINT AS error_code, ms AS ts
         FROM ({EVENTS}) WHERE fate = 'error'""",
+    "log_rejected": f"""
+        SELECT (user_id % 4)::INTEGER AS "partition", event_id AS "offset"
+        FROM ({EVENTS}) WHERE fate = 'rejected'""",
     "log_page": f"SELECT {COMMON}, {PAGE}, ms AS ts FROM ({EVENTS}) WHERE {HAS_PAGE}",
     "log_display": _display(
         f"""{COMMON}, {PAGE}, CASE WHEN i % 2 = 1 THEN 'query' ELSE 'promotion' END AS display_type,
@@ -249,7 +252,7 @@ ORACLE = {
         WHERE {LINE_AT} BETWEEN {HEADER_AT} - INTERVAL 24 HOUR AND {HEADER_AT} + INTERVAL 24 HOUR""",
     "line_distinct": f"SELECT DISTINCT * FROM ({LINES})",
     "sink_upsert": f"""
-        SELECT create_time[1:10] AS dt, detail_id, order_id, sku_id,
+        SELECT create_time[1:10] AS dt, detail_id::VARCHAR AS doc_id, order_id, sku_id,
                CASE WHEN order_status = 'F' THEN 'S' ELSE order_status END AS order_status,
                CASE WHEN order_status = 'F' THEN 2 ELSE 1 END AS version, order_price, user_id
         FROM ({ORDER_WIDE})
@@ -277,6 +280,7 @@ ORACLE = {
           WHERE {OP} IS NOT NULL AND "table" IN ('user_info', 'base_province'))
         GROUP BY topic""",
     "stream_dau": DAU_WIDE,
+    "stream_dau_state": f"SELECT dt, mid FROM ({FIRSTS})",
     "stream_orders": f"""
         SELECT strftime({LINE_AT}, '%Y-%m-%d') AS dt, l.id AS detail_id, h.id AS order_id, h.order_status,
                h.create_date, h.user_age, h.province_name, epoch_ms({LINE_AT}) AS line_ms

@@ -137,6 +137,10 @@ def log_error_split(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def log_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    return log_split.rejected_log(_logs(spark, sf), "partition", "offset").drop("value")
+
+
 def log_page(spark: SparkSession, sf: str) -> DataFrame:
     return log_split.page_log(_logs(spark, sf))
 
@@ -274,7 +278,14 @@ def sink_upsert(spark: SparkSession, sf: str) -> DataFrame:
         "order_status", F.when(F.col("version") == 2, "S").otherwise(F.col("order_status"))
     )
     return orders.latest_wide(written, _WRITES).select(
-        "dt", "detail_id", "order_id", "sku_id", "order_status", "version", "order_price", "user_id"
+        "dt",
+        orders.document_id().alias("doc_id"),
+        "order_id",
+        "sku_id",
+        "order_status",
+        "version",
+        "order_price",
+        "user_id",
     )
 
 
@@ -310,6 +321,7 @@ QUERIES = {
         cdc_dim_latest,
         cdc_dim_drop,
         log_error_split,
+        log_rejected,
         log_page,
         log_display,
         log_action,
