@@ -4,6 +4,7 @@ from millrace.llm.licence_texts import LICENCES, NOTICES, SPELLINGS
 from millrace.llm.licences import BETWEEN_WORDS, COPYRIGHT_LINE, LOWER, UPPER
 from millrace.llm.mixing import MOST_TIMES, WEIGHTS
 from millrace.llm.queries import SHARDS, SLOTS
+from millrace.llm.warc import ALPHABET
 
 
 def _text(value: str) -> str:
@@ -45,6 +46,36 @@ SELECT doc_id, digest, license_id, coalesce(notices, '') AS notices
 FROM digested LEFT JOIN known USING (digest) LEFT JOIN named USING (r)
 """
 
+_ESCAPES = r"""len(regexp_extract_all({0}, '\\|<\||</?s>|<</?SYS>>|\[/?INST\]'))"""
+
+CHAT = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum({len("<|turn|>") + len("<|body|>") + len("<|end|>") + 1} + length(role) + length(text)
+    + {_ESCAPES.format("role")} + {_ESCAPES.format("text")})::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+_BASE32 = " || ".join(
+    f"substr('{ALPHABET}', ((('0x' || substr(h, {i}, 5))::BIGINT >> {s}) & 31) + 1, 1)" for i in range(1, 41, 5) for s in (15, 10, 5, 0)
+)
+
+WARC = f"""
+WITH hashed AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+digested AS (SELECT page_id, payload_bytes, {_BASE32} AS payload_digest FROM hashed),
+named AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM digested)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM named
+"""
+
 SHARDING = f"""
 WITH RECURSIVE shard AS (
   SELECT i, name, ('0x' || md5(name)[1:8])::BIGINT % {SLOTS} AS start,
@@ -92,6 +123,8 @@ FROM docs JOIN rated ON docs.source IS NOT DISTINCT FROM rated.source
 
 LLM_ORACLE = {
     "op1_licenses": LICENSES,
+    "op2_chat": CHAT,
     "op5_sharding": SHARDING,
+    "op7_warc": WARC,
     "op8_mixing": MIXING,
 }

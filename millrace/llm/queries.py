@@ -1,10 +1,13 @@
 """The registered queries of the operators, each over its whole table."""
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, licences, mixing, sharding, simhash
+from millrace.llm import bpe, chat, langid, licences, mixing, sharding, simhash, warc
 from millrace.llm.common import prepare
+from millrace.session import shared_folder
 
 SHARDS = [f"shard-{i}" for i in range(64)]
 SLOTS = 8191
@@ -14,16 +17,46 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def word_bpe() -> str:
+    """The vocabulary's file, as text."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path("word_bpe_49k.json")).read_text()
+
+
+def token_digests(encoded: DataFrame) -> DataFrame:
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     found = licences.scan(docs, F.broadcast(licences.known_licences(spark)))
     return found.select("doc_id", "digest", "license_id", licences.notices(F.col("text")).alias("notices"))
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    extra = [F.struct(F.lit(-7).alias("conv_id"), F.lit(i).alias("turn"), F.lit(r).alias("role"), F.lit(marks).alias("text")) for i, r in enumerate(("user", "assistant"))]
+    turns = turns.unionByName(spark.range(1).select(F.inline(F.array(*extra))))
+    formatted = chat.format_turns(turns.withColumn("parts", chat.text_part(F.col("text"))))
+    return chat.conversations(formatted)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"), words=3)
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_digests(bpe.encode(docs, word_bpe()))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id")
     return sharding.place(docs, "doc_id", SHARDS, SLOTS).select("doc_id", "slot", "shard")
@@ -36,6 +69,13 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages", "page_id", "url", "html")
+    path = f"{shared_folder(spark)}/archives"
+    warc.write(pages, path)
+    return warc.resolve(warc.read(spark, path, payloads=False))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents", "doc_id", "text", "source"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
@@ -46,9 +86,12 @@ LLM_QUERIES = {
     q.__name__: q
     for q in (
         op1_licenses,
+        op2_chat,
         op3_simhash,
+        op4_bpe,
         op5_sharding,
         op6_language,
+        op7_warc,
         op8_mixing,
     )
 }
