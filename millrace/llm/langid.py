@@ -6,12 +6,15 @@ n-gram's positions and so returns all languages that contain it. Counts of those
 bits, corrected for each filter's rate of false positives, decide.
 """
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from millrace.llm.common import without
 
 # Labelled documents that training takes of each language, about.
 SAMPLE = 4_000
@@ -150,33 +153,37 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     return Filters(langs, words, is_letter, usual)
 
 
-def identify(docs: DataFrame, filters: Filters, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, lang_pred, score), a row for each row of ``docs``.
+def identify(docs: DataFrame, filters: Filters, text: str = "text", keep: Iterable[str] | None = None) -> DataFrame:
+    """Each row's columns (``keep``, or all) with lang_pred and score.
 
     ``lang_pred`` is a learned language, or ``und`` if the text is null or has no
     letters or nothing was learned. ``score`` is the language's share of all
     languages' corrected counts; it is 0 for ``und`` and where no n-gram is known,
     which gives the language seen most. Equal counts go to the first language.
+    Columns called lang_pred or score are replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast(filters)
+    rows = without(docs, ["lang_pred", "score"])
+    kept = rows.columns if keep is None else list(keep)
+    schema = rows.select(*kept).schema.add("lang_pred", "string").add("score", "double")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = held.value
         for batch in batches:
-            got = [f.predict(x.as_py()) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
-                [key, "lang_pred", "score"],
-            )
+            got = [f.predict(x.as_py()) for x in batch.column(0)]
+            found = [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *found], [f"c{i}" for i in range(len(kept) + 2)])
 
-    kind = dict(docs.dtypes)[key]
-    return docs.select(key, text).mapInArrow(each, f"`{key}` {kind}, lang_pred string, score double")
+    names = [f"c{i}" for i in range(len(kept))]
+    source = rows.select(F.col(text).alias("t"), *[F.col(f"`{c}`").alias(n) for c, n in zip(kept, names, strict=True)])
+    plain = StructType([StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)])
+    return source.mapInArrow(each, plain).toDF(*schema.names)
 
 
 def held_out(key: Column) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % 3 == 1
 
 
-def learned(spark: SparkSession, docs: DataFrame) -> Filters:
+def learned(docs: DataFrame) -> Filters:
     """Filters from the documents that aren't held out; a null doc_id isn't held out."""
     return train(docs.where(~F.coalesce(held_out(F.col("doc_id")), F.lit(False))))

@@ -121,10 +121,23 @@ SELECT doc_id, size, source_size, target,
 FROM docs JOIN rated ON docs.source IS NOT DISTINCT FROM rated.source
 """
 
+TOPK = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id IS DISTINCT FROM q.vec_id AND len(c.v) = len(q.v)
+)
+SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5
+"""
+
 LLM_ORACLE = {
     "op1_licenses": LICENSES,
     "op2_chat": CHAT,
     "op5_sharding": SHARDING,
     "op7_warc": WARC,
     "op8_mixing": MIXING,
+    "op10_topk": TOPK,
 }

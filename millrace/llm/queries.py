@@ -5,7 +5,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, langid, licences, mixing, sharding, simhash, warc
+from millrace.llm import bpe, chat, hnsw, langid, licences, mixing, sharding, simhash, topk, warc
 from millrace.llm.common import prepare
 from millrace.session import shared_folder
 
@@ -64,7 +64,7 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    found = langid.identify(docs, langid.learned(spark, docs))
+    found = langid.identify(docs, langid.learned(docs), keep=["doc_id"])
     held_out = F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
@@ -82,6 +82,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return hnsw.search(rows, rows.where("vec_id % 50 = 0"))
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    whole = rows.select("vec_id", topk.quantised(F.col("embedding"), 256).alias("vector"))
+    return topk.search(whole, whole.where("vec_id % 50 = 0"))
+
+
 LLM_QUERIES = {
     q.__name__: q
     for q in (
@@ -93,5 +104,7 @@ LLM_QUERIES = {
         op6_language,
         op7_warc,
         op8_mixing,
+        op9_neighbours,
+        op10_topk,
     )
 }

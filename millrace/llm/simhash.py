@@ -14,7 +14,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import staged
@@ -53,15 +53,23 @@ def fingerprint(text: bytes, words: int) -> bytes:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
-    """(key, fp long), a row for each row; null texts count as empty."""
+    """(key, mark, fp), a row for each row; null texts count as empty.
+
+    ``mark`` is a hash of the whole text, which tells rows of one key apart.
+    """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = (x.as_py() or b"" for x in batch.column(1).cast(pa.binary()))
             got = np.frombuffer(b"".join([fingerprint(t, words) for t in texts]), ">i8").astype(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got)], [key, "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(got)], [key, "mark", "fp"])
+
+    rows = docs.select(key, text, mark(text).alias("mark"))
+    return rows.mapInArrow(each, f"`{key}` {dict(docs.dtypes)[key]}, mark long, fp long")
 
-    return docs.select(key, text).mapInArrow(each, f"`{key}` {dict(docs.dtypes)[key]}, fp long")
+
+def mark(text: str) -> Column:
+    return F.xxhash64(F.lit("mark"), F.coalesce(F.col(text), F.lit("")))
 
 
 def planes(fps: np.ndarray) -> np.ndarray:
@@ -178,6 +186,17 @@ def links(fps: DataFrame) -> DataFrame:
     return placed.mapInArrow(compare, "a long, b long")
 
 
+def classes(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """(id, mark, fp, root, component_id), a row for each row of ``docs``."""
+    own = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    of = staged(fingerprints(own, "id", "text", words), "fingerprints")
+    least = of.groupBy("fp").agg(F.min("id").alias("least"))
+    roots = components(links(of.select("fp").distinct())).withColumnRenamed("node", "fp")
+    rooted = least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return of.join(rooted.select("fp", "root").join(smallest, "root"), "fp")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
     """(key, fingerprint, component_id), a row for each row of ``docs``.
 
@@ -187,12 +206,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     link like others. Repeated rows stay. Copies share one fingerprint and are
     compared once.
     """
-    own = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    of = staged(fingerprints(own, "id", "text", words), "fingerprints")
-    least = of.groupBy("fp").agg(F.min("id").alias("least"))
-    roots = components(links(of.select("fp").distinct())).withColumnRenamed("node", "fp")
-    rooted = least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return of.join(classes, "fp").select(F.col("id").alias(key), hexed.alias("fingerprint"), "component_id")
+    return classes(docs, key, text, words).select(F.col("id").alias(key), hexed.alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component one row stays.
+
+    It is the one with the smallest key, null last; of several rows with that key the
+    one whose text has the smallest hash. Only keys and hashes are grouped; the texts
+    shuffle once, to meet the keys that stay.
+    """
+    name = F.coalesce(F.col(key).cast("string"), F.lit("null:")).alias("_key")
+    of = classes(docs, key, text, words)
+    first = of.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "mark")).alias("first"))
+    kept = first.select(F.coalesce(F.col("first.id").cast("string"), F.lit("null:")).alias("_key"), F.col("first.mark").alias("_mark"))
+    rows = docs.select("*", name, mark(text).alias("_mark"))
+    return rows.join(kept, ["_key", "_mark"], "left_semi").dropDuplicates(["_key", "_mark"]).select(docs.columns)

@@ -21,7 +21,8 @@ def test_edge_cases(llm, documents):
     assert filters.langs == ["de", "en", "es", "fr"]
     rows = [(1, None), (2, ""), (3, "123 ... \n|"), (4, "漢字"), (None, "of the and that is"), (6, "and the " * 200_000)]
     odd = llm.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS score", "'x' AS lang_pred")
-    got = {r[0]: (r[1], r[2]) for r in langid.identify(odd, filters).collect()}
+    assert langid.identify(odd, filters).columns == ["doc_id", "text", "lang_pred", "score"]
+    got = {r[0]: (r[1], r[2]) for r in langid.identify(odd, filters, keep=["doc_id"]).collect()}
     assert got[1] == got[2] == got[3] == ("und", 0.0)
     assert got[4] == ("en", 0.0)
     assert got[None][0] == got[6][0] == "en"
@@ -31,7 +32,7 @@ def test_edge_cases(llm, documents):
 def test_nothing_to_learn_from(llm):
     frame = llm.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id long, text string, lang string")
     for rows in (frame, frame.limit(0)):
-        got = langid.identify(frame, langid.train(rows)).collect()
+        got = langid.identify(frame, langid.train(rows), keep=["doc_id"]).collect()
         assert [tuple(r) for r in got] == [(1, "und", 0.0), (2, "und", 0.0)]
 
 

@@ -95,3 +95,12 @@ def test_components_of_a_long_chain(llm):
     edges = llm.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 99), (99, 100), (7, 7)], "a long, b long")
     got = {r[0]: r[1] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(61)}, 99: 99, 100: 99}
+
+
+def test_one_row_of_each_component_stays(llm):
+    rows = [(3, "a b c d"), (2, "A b c d"), (2, "a B c d"), (2, "A b c d"), (9, "other words here"), (None, "nobody else"), (None, "nobody else"), (9, "quite different"), (5, None), (4, "")]
+    frame = llm.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS mark", "2 AS root", "3 AS fp")
+    got = simhash.one_of_each(frame, words=3)
+    assert got.columns == frame.columns
+    kept = sorted(((r.doc_id, (r.text or "").lower()) for r in got.collect()), key=repr)
+    assert kept == sorted([(2, "a b c d"), (9, "other words here"), (9, "quite different"), (None, "nobody else"), (4, "")], key=repr)
