@@ -27,6 +27,8 @@ from millrace.llm.common import staged
 
 # Characters of a block: a task holds one, its words and its ids.
 BLOCK_CHARS = 12_000_000
+# Words whose ids are put back together.
+SLICE_WORDS = 200_000
 # Word buckets for each shuffle partition.
 BUCKETS = 4
 # A vocabulary up to this size is broadcast as id-to-piece table.
@@ -108,7 +110,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], splitter: Splitter):
             own = [count.setdefault(w, len(count)) for w in splitter.words(text)]
             keys.append(key)
             lengths.append(len(own))
-            codes.append(np.array(own, np.int64))
+            codes.append(np.array(own, np.int32))
             chars += len(text)
             if chars >= BLOCK_CHARS:
                 yield part << 24 | number, keys, lengths, np.concatenate(codes), list(count)
@@ -236,6 +238,17 @@ class Encoder:
         return named.select("block", F.col("named.id").alias("seen"), F.col("named.piece").alias("pieces"))
 
 
+def decoded_words(ids: np.ndarray, first: np.ndarray, count: np.ndarray, words: pa.Table) -> list[str]:
+    """The decoded text of each word of a block, by the block's ids and their pieces."""
+    piece = {
+        i: p
+        for seen, pieces in zip(words["seen"].to_pylist(), words["pieces"].to_pylist(), strict=True)
+        for i, p in zip(seen or (), pieces or (), strict=True)
+    }
+    each = [piece[i] for i in ids.tolist()]
+    return [" ".join(each[i : i + k]) for i, k in zip(first.tolist(), count.tolist(), strict=True)]
+
+
 def encode(docs: DataFrame, spec: str, key: str = "doc_id", text: str = "text", decode: bool = True) -> DataFrame:
     """(key, ids array<int>[, decoded]), a row for each row of ``docs``.
 
@@ -265,30 +278,31 @@ def encode(docs: DataFrame, spec: str, key: str = "doc_id", text: str = "text",
             raise ValueError("the documents were not the same when they were read again")
         flat = [unpacked(x) for x in words["ids"].to_pylist() if x is not None]
         counts = [unpacked(x) for x in words["counts"].to_pylist() if x is not None]
-        ids, count = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (flat, counts))
-        first = np.cumsum(count) - count
-        lengths = unpacked(block["lengths"][0].as_py())
-        code = unpacked(block["places"][0].as_py())[unpacked(block["codes"][0].as_py())]
-        n = count[code]
-        ends = np.cumsum(n)
-        out = ids[np.repeat(first[code] - (ends - n), n) + np.arange(n.sum())].astype(np.int32)
-        bounds = np.r_[0, np.cumsum(lengths)]
-        tokens = np.r_[0, ends][bounds]
-        columns = {
-            "key": block["keys"].combine_chunks().flatten(),
-            "ids": pa.ListArray.from_arrays(pa.array(tokens.astype(np.int32)), pa.array(out)),
-        }
-        if decode:
-            named = [(i, p) for s, ps in zip(words["seen"].to_pylist(), words["pieces"].to_pylist(), strict=True) if s for i, p in zip(s, ps, strict=True)]
-            piece = dict(named)
-            each = [piece[i] for i in ids.tolist()]
-            written = [" ".join(each[i : i + k]) for i, k in zip(first.tolist(), count.tolist(), strict=True)]
-            places = code.tolist()
-            columns["decoded"] = pa.array(
-                [" ".join([written[c] for c in places[i:j]]) for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)],
-                pa.string(),
-            )
-        return pa.table(columns)
+        ids, count = (np.concatenate(x).astype(np.int32) if x else np.zeros(0, np.int32) for x in (flat, counts))
+        first = (np.cumsum(count) - count).astype(np.int32)
+        bounds = np.r_[0, np.cumsum(unpacked(block["lengths"][0].as_py()))]
+        code = unpacked(block["places"][0].as_py()).astype(np.int32)[unpacked(block["codes"][0].as_py())]
+        keys = block["keys"].combine_chunks().flatten()
+        written = decoded_words(ids, first, count, words) if decode else []
+
+        def documents(i: int, j: int) -> pa.Table:
+            """Rows of the documents from i to j: a block's ids are many times its words."""
+            own = code[bounds[i] : bounds[j]]
+            n = count[own]
+            ends = np.cumsum(n)
+            out = ids[np.repeat(first[own] - (ends - n), n) + np.arange(n.sum())]
+            at = bounds[i : j + 1] - bounds[i]
+            offsets = pa.array(np.r_[0, ends][at].astype(np.int32))
+            columns = {"key": keys[i:j], "ids": pa.ListArray.from_arrays(offsets, pa.array(out, pa.int32()))}
+            if decode:
+                each = [written[c] for c in own.tolist()]
+                ranges = zip(at[:-1].tolist(), at[1:].tolist(), strict=True)
+                columns["decoded"] = pa.array([" ".join(each[k:m]) for k, m in ranges], pa.string())
+            return pa.table(columns)
+
+        starts = np.unique(np.searchsorted(bounds[:-1], np.arange(0, bounds[-1] + 1, SLICE_WORDS)))
+        edges = [*starts[starts < len(keys)].tolist(), len(keys)]
+        return pa.concat_tables([documents(i, j) for i, j in zip(edges[:-1], edges[1:], strict=True)])
 
     schema = f"key {kind}, ids array<int>" + ", decoded string" * decode
     result = kept.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(put_back, schema)

@@ -37,6 +37,7 @@ def test_query_is_the_library_result(llm, documents, tokenizer):
 @pytest.mark.parametrize("chars", [1, 50, 10**7])
 def test_odd_texts_and_blocks(llm, tokenizer, monkeypatch, chars):
     monkeypatch.setattr(bpe, "BLOCK_CHARS", chars)
+    monkeypatch.setattr(bpe, "SLICE_WORDS", chars)
     frame = llm.createDataFrame(ODD, "doc_id long, text string").selectExpr("*", "1 AS ids", "2 AS decoded", "3 AS block")
     got = sorted(map(tuple, bpe.encode(frame, queries.word_bpe()).collect()), key=repr)
     assert got == wanted(tokenizer, ODD)
