@@ -21,6 +21,16 @@ def fact_topic(table: Column, op: Column) -> Column:
     return F.concat(F.lit("DWD_"), F.upper(table), F.lit("_"), op)
 
 
+# Fixed value: the first millisecond of the year 10000.
+END_OF_TIME = 253_402_300_800_000
+
+
+def plausible(epoch_ms: Column) -> Column:
+    """Whether a clock's time lies in the years 1970 to 9999, as epoch ms does. Times in
+    micro- or nanoseconds don't, and would overflow where they are turned into dates."""
+    return F.coalesce((epoch_ms >= 0) & (epoch_ms < END_OF_TIME), F.lit(False))
+
+
 def event_time(epoch_ms: Column) -> Column:
     return F.timestamp_millis(epoch_ms)
 

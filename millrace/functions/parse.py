@@ -13,6 +13,8 @@ from pyspark.sql.types import (
 )
 
 CORRUPT = "_corrupt_record"
+# The field by which an added last element shows that a text was read to its end.
+END = "_end"
 
 
 def text_leaves(kind: DataType) -> DataType:
@@ -44,22 +46,47 @@ def cast_fields(record: Column, schema: StructType) -> list[Column]:
     return [cast_leaves(record[f.name], f.dataType).alias(f.name) for f in schema]
 
 
+def _framed(value: Column) -> Column:
+    """The text as the first of two elements of an array.
+
+    ``from_json`` stops after the first object and says nothing of what follows. The
+    second element holds a hash of the text: it is found, as the second, exactly if
+    the text before it is one value, and no text can bring its own hash along.
+    """
+    return F.concat(F.lit('{"v":['), value, F.lit(f',{{"{END}":"'), _mark(value), F.lit('"}]}'))
+
+
+def _mark(value: Column) -> Column:
+    return F.xxhash64(value).cast("string")
+
+
+def member_text(value: Column, name: str, otherwise: Column) -> Column:
+    """A member of a JSON object as text, with all digits of its numbers.
+
+    Up to 38 digits stay as they are, zeros at the end of a fraction aside; keys may
+    change places. ``otherwise`` stands in for texts of which a key is repeated.
+    """
+    return F.coalesce(F.try_variant_get(F.try_parse_json(value), f"$.{name}", "string"), otherwise)
+
+
 def with_json(df: DataFrame, schema: StructType, value: str = "value", into: str = "j") -> DataFrame:
-    """Add ``into``: the typed record, or null where the text is not one JSON object.
+    """Add ``into``: the typed record, or null where the text is not one JSON object
+    and nothing else.
 
     The parse is the input of ``explode`` on purpose. Filters on the parsed
     fields stop at it; pushed below a plain projection they would repeat the
     whole parse, once to test and once to project.
     """
-    lenient = StructType(list(text_leaves(schema).fields) + [StructField(CORRUPT, StringType())])
-    text = F.from_json(
-        F.col(value), lenient, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
+    element = StructType([*text_leaves(schema).fields, StructField(END, StringType())])
+    lenient = StructType([StructField("v", ArrayType(element)), StructField(CORRUPT, StringType())])
+    text = F.from_json(_framed(F.col(value)), lenient, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     raw = f"_{into}_text"
     parsed = df.withColumn(raw, F.explode(F.array(text)))
-    readable = F.col(raw).isNotNull() & F.col(raw)[CORRUPT].isNull()
-    record = F.struct(*cast_fields(F.col(raw), schema))
-    return parsed.withColumn(into, F.when(readable, record)).drop(raw)
+    both = F.col(raw)["v"]
+    first, last = F.try_element_at(both, F.lit(1)), F.try_element_at(both, F.lit(2))
+    whole = F.col(raw)[CORRUPT].isNull() & (F.size(both) == 2) & (last[END] == _mark(F.col(value)))
+    record = F.struct(*cast_fields(first, schema))
+    return parsed.withColumn(into, F.when(whole & first.isNotNull(), record)).drop(raw)
 
 
 def zero_for_missing(record: Column, schema: StructType, keys: tuple[str, ...] = ()) -> list[Column]:

@@ -4,6 +4,8 @@ Reads from Kafka with ``--servers``, else from the message folders of the root.
 """
 
 import argparse
+import json
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +13,7 @@ from millrace.operators.log_split import PAGE_TOPIC
 from millrace.session import tune
 from millrace.sources.streams import kafka_stream, message_stream
 from millrace.streaming import jobs
+from millrace.streaming.progress import end_positions, rates
 
 # The topics each job reads.
 LOG_TOPIC = "ODS_BASE_LOG"
@@ -21,20 +24,48 @@ LINE_TOPIC = "DWD_ORDER_DETAIL_I"
 JOBS = ("split_logs", "split_changes", "daily_actives", "widen_orders")
 
 
-def start(spark: SparkSession, job: str, at: jobs.Warehouse, servers: str | None, trigger) -> list:
+def start(
+    spark: SparkSession,
+    job: str,
+    at: jobs.Warehouse,
+    servers: str | None,
+    trigger,
+    positions: dict | None = None,
+    on_delete: str = "keep",
+) -> list:
+    """Starts a job's queries. ``positions`` maps topic to partition to first offset."""
+
     def read(topic: str, folder: str) -> DataFrame:
         if servers:
-            return kafka_stream(spark, servers, topic)
-        return message_stream(spark, folder, topic=topic)
+            own = {topic: positions[topic]} if positions and topic in positions else None
+            return kafka_stream(spark, servers, topic, own)
+        return message_stream(spark, folder, topic=topic, replaced=folder == at.routes)
 
     if job == "split_logs":
         return jobs.split_logs(read(LOG_TOPIC, f"{at.root}/raw_log"), at, trigger, servers)
     if job == "split_changes":
         return jobs.split_changes(read(CHANGE_TOPIC, f"{at.root}/raw_db"), at, trigger, servers)
     if job == "daily_actives":
-        return jobs.daily_actives(read(PAGE_TOPIC, at.log_routes), at, trigger=trigger)
+        return jobs.daily_actives(read(PAGE_TOPIC, at.log_routes), at, on_delete=on_delete, trigger=trigger)
     headers, lines = read(HEADER_TOPIC, at.routes), read(LINE_TOPIC, at.routes)
-    return jobs.widen_orders(headers, lines, at, trigger=trigger)
+    return jobs.widen_orders(headers, lines, at, on_delete=on_delete, trigger=trigger)
+
+
+def wait(spark: SparkSession, started: list) -> None:
+    """Returns when all queries have ended; stops them all and raises as soon as one fails."""
+    try:
+        while any(query.isActive for query in started):
+            spark.streams.awaitAnyTermination(5)
+            spark.streams.resetTerminated()
+            for query in started:
+                if query.lastProgress:
+                    logging.info("%s read to %s: %s", query.name, end_positions(query), rates(query))
+        for query in started:
+            query.awaitTermination()
+    except Exception:
+        for query in started:
+            query.stop()
+        raise
 
 
 def main() -> None:
@@ -44,12 +75,13 @@ def main() -> None:
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--every", default="5 seconds", help="micro-batch interval")
     parser.add_argument("--once", action="store_true", help="read what there is, then stop")
+    parser.add_argument("--start", type=json.loads, help='first offsets, as {"topic": {"0": 12}}')
+    parser.add_argument("--on-delete", choices=("keep", "drop"), default="keep", help="deleted dimension rows")
     args = parser.parse_args()
     spark = tune(SparkSession.builder.appName(args.job).getOrCreate())
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
-    started = start(spark, args.job, jobs.Warehouse(args.root), args.servers, trigger)
-    for query in started:
-        query.awaitTermination()
+    at = jobs.Warehouse(args.root)
+    wait(spark, start(spark, args.job, at, args.servers, trigger, args.start, args.on_delete))
 
 
 if __name__ == "__main__":

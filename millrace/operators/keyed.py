@@ -1,6 +1,7 @@
 """One row per key, as aggregations: each task first reduces its own rows, so
 a key that holds a third of the input still crosses the shuffle as one row per
-task, and no task ever sorts a whole group."""
+task. Picking a whole row is a sort-based aggregation: each task sorts its own
+rows by key, spilling to disk if it must, before and after the shuffle."""
 
 from collections.abc import Sequence
 

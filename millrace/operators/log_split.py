@@ -8,6 +8,7 @@ page, and a start row when it has a start; page and start exclude nothing.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.exprs import plausible
 from millrace.functions.parse import json_text, with_json
 from millrace.schemas import APP_LOG
 
@@ -27,14 +28,14 @@ def parse_log(messages: DataFrame) -> DataFrame:
     """Messages with their record ``j`` and its fate: ``rejected``, ``error`` or ``log``.
 
     A record is rejected when its text is not an object, or when it is no error
-    and lacks the common block or the time.
+    and lacks the common block or a time that a clock can show.
     """
     parsed = with_json(messages, APP_LOG)
     j = F.col("j")
     fate = (
         F.when(j.isNull(), "rejected")
         .when(j["err"].isNotNull(), "error")
-        .when(j["common"].isNull() | j["ts"].isNull(), "rejected")
+        .when(j["common"].isNull() | ~plausible(j["ts"]), "rejected")
         .otherwise("log")
     )
     return parsed.withColumn("fate", fate)

@@ -155,13 +155,19 @@ USER_VERSIONS = """
   QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY version * (c_custkey % 5 + 1) % 7 DESC) = 1
 """
 
+_NO_PAGE = "NULL AS page_id, NULL AS during_time"
+
 FANOUT = f"""
-  SELECT 'DWD_PAGE_LOG_TOPIC' AS topic, ms AS ts FROM ({EVENTS}) WHERE {HAS_PAGE}
-  UNION ALL SELECT 'DWD_PAGE_DISPLAY_TOPIC', ms FROM ({_display("ms")})
-  UNION ALL SELECT 'DWD_PAGE_ACTION_TOPIC', ms FROM ({_action("ms")})
-  UNION ALL SELECT 'DWD_START_LOG_TOPIC', ms FROM ({EVENTS}) WHERE {HAS_START}
-  UNION ALL SELECT 'DWD_ERROR_LOG_TOPIC', ms FROM ({EVENTS}) WHERE fate = 'error'
-  UNION ALL SELECT 'REJECTED_BASE_LOG', NULL FROM ({EVENTS}) WHERE fate = 'rejected'
+  SELECT 'DWD_PAGE_LOG_TOPIC' AS topic, mid AS key, ts, page_id, during_time, NULL AS item
+  FROM (SELECT {COMMON}, {PAGE}, ms AS ts FROM ({EVENTS}) WHERE {HAS_PAGE})
+  UNION ALL SELECT 'DWD_PAGE_DISPLAY_TOPIC', mid, ts, page_id, during_time, item
+  FROM ({_display(f"{COMMON}, {PAGE}, ms AS ts, (k + i)::VARCHAR AS item")})
+  UNION ALL SELECT 'DWD_PAGE_ACTION_TOPIC', mid, ts, page_id, during_time, item
+  FROM ({_action(f"{COMMON}, {PAGE}, ms AS ts, k::VARCHAR AS item")})
+  UNION ALL SELECT 'DWD_START_LOG_TOPIC', 'mid_' || user_id, ms, {_NO_PAGE}, k::VARCHAR FROM ({EVENTS}) WHERE {HAS_START}
+  UNION ALL SELECT 'DWD_ERROR_LOG_TOPIC', 'mid_' || user_id, ms, {_NO_PAGE}, NULL FROM ({EVENTS}) WHERE fate = 'error'
+  UNION ALL SELECT 'REJECTED_BASE_LOG', CASE WHEN event_type = 'view' THEN 'mid_' || user_id END, NULL, {_NO_PAGE}, NULL
+  FROM ({EVENTS}) WHERE fate = 'rejected'
 """
 
 DAU_WIDE = f"""
@@ -198,11 +204,24 @@ ORACLE = {
     "cdc_op_map": f"""
         SELECT "table", type, {OP} AS op, count(*) AS n FROM ({CHANGES}) GROUP BY ALL""",
     "cdc_fact_route": f"""
-        SELECT 'DWD_' || upper("table") || '_' || {OP} AS topic, count(*) AS n,
-               sum(key)::BIGINT AS key_sum
+        SELECT 'DWD_' || upper("table") || '_' || {OP} AS topic, key::VARCHAR AS key
         FROM ({CHANGES}) WHERE {OP} IS NOT NULL
-          AND "table" IN ('order_info', 'order_detail', 'base_province')
-        GROUP BY ALL""",
+          AND "table" IN ('order_info', 'order_detail', 'base_province')""",
+    "cdc_fact_payload": """
+        SELECT 'DWD_ORDER_INFO_I' AS topic, o_orderkey::VARCHAR AS key,
+               '12345678901234567890.' || lpad((o_orderkey % 1000000000)::VARCHAR, 9, '0') AS amount,
+               'a ]} of ' || o_orderkey AS note, o_orderkey AS n
+        FROM orders""",
+    "json_whole_text": """
+        SELECT o_orderkey AS "offset", o_orderkey % 5 = 0 AS rejected,
+               CASE WHEN o_orderkey % 5 <> 0 THEN 'order_info' END AS "table",
+               CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey::VARCHAR END AS id
+        FROM orders""",
+    "dau_bad_time": """
+        SELECT (user_id % 4)::INTEGER AS "partition", event_id AS "offset",
+               event_id % 7 = 0 OR event_id % 11 = 0 AS rejected,
+               CASE WHEN event_id % 7 <> 0 AND event_id % 11 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS dt
+        FROM events""",
     "cdc_dim_rows": f"""
         SELECT 'user_info' AS "table", id, gender AS what FROM ({USERS}) WHERE gender IS NOT NULL
         UNION ALL SELECT 'base_province', id, name FROM ({PROVINCES})""",
@@ -229,8 +248,7 @@ ORACLE = {
                (k * 20)::BIGINT AS open_ad_ms, CASE WHEN k >= 50 THEN k END::BIGINT AS open_ad_skip_ms,
                ms AS ts
         FROM ({EVENTS}) WHERE {HAS_START}""",
-    "log_fanout": f"""
-        SELECT topic, count(*) AS n, sum(ts)::BIGINT AS ts_sum FROM ({FANOUT}) GROUP BY topic""",
+    "log_fanout": FANOUT,
     "dau_entry": f"""SELECT "offset", mid, dt, page_id FROM ({ENTRIES})""",
     "dau_dedup": f"""
         SELECT dt, mid, "offset", ms AS ts, page_item, during_time FROM ({FIRSTS})""",
@@ -258,33 +276,42 @@ ORACLE = {
         FROM ({ORDER_WIDE})
         QUALIFY row_number() OVER (PARTITION BY create_time[1:10], detail_id ORDER BY {WRITES}) = 1""",
     "sink_by_day": f"""
-        SELECT dt, count(*) AS n, sum(sku_num)::BIGINT AS sku_num, max(id) AS last_id
-        FROM (SELECT *, strftime({LINE_AT}, '%Y-%m-%d') AS dt FROM ({LINES}) l
-              WHERE order_id IN (SELECT o_orderkey FROM orders)
-              QUALIFY row_number() OVER (
-                PARTITION BY strftime({LINE_AT}, '%Y-%m-%d'), id ORDER BY {WRITES}) = 1)
-        GROUP BY dt""",
+        SELECT strftime({LINE_AT}, '%Y-%m-%d') AS dt, l.id AS detail_id, l.order_id, l.sku_id, l.sku_num,
+               l.order_price, h.user_age, h.province_name
+        FROM ({WIDE_HEADERS}) h JOIN ({LINES}) l ON h.id = l.order_id
+        QUALIFY row_number() OVER (
+          PARTITION BY strftime({LINE_AT}, '%Y-%m-%d'), l.id
+          ORDER BY {", ".join("l." + w.strip() for w in WRITES.split(",") if "create_time" not in w)}) = 1""",
     "end_offsets": """
         SELECT 'ODS_BASE_LOG' AS topic, (user_id % 4)::INTEGER AS "partition",
                max(event_id) + 1 AS end_offset
         FROM events GROUP BY ALL""",
-    "stream_log_routes": f"""
-        SELECT topic, count(*) AS n, sum(ts)::BIGINT AS ts_sum FROM ({FANOUT}) GROUP BY topic""",
+    "stream_log_routes": FANOUT,
     "stream_changes": f"""
-        SELECT topic, count(*) AS n, sum(key)::BIGINT AS key_sum FROM (
           SELECT 'DWD_' || upper("table") || '_' || {OP} AS topic, key
           FROM ({CHANGES}) WHERE {OP} IS NOT NULL
             AND "table" IN ('order_info', 'order_detail', 'base_province')
           UNION ALL
           SELECT 'DIM:' || "table", key FROM ({CHANGES})
-          WHERE {OP} IS NOT NULL AND "table" IN ('user_info', 'base_province'))
-        GROUP BY topic""",
+          WHERE {OP} IS NOT NULL AND "table" IN ('user_info', 'base_province')""",
     "stream_dau": DAU_WIDE,
-    "stream_dau_state": f"SELECT dt, mid FROM ({FIRSTS})",
+    "stream_dau_state": f"""
+        SELECT DISTINCT strftime(ts + to_days(CASE WHEN event_id % 10 = 0 THEN 40 ELSE 0 END), '%Y-%m-%d') AS dt,
+               'mid_' || user_id AS mid, 'v2.1' AS version_code, 'sku_id' AS page_item_type
+        FROM ({EVENTS}) WHERE {HAS_PAGE} AND event_type IN ('view', 'signup')""",
     "stream_orders": f"""
-        SELECT strftime({LINE_AT}, '%Y-%m-%d') AS dt, l.id AS detail_id, h.id AS order_id, h.order_status,
-               h.create_date, h.user_age, h.province_name, epoch_ms({LINE_AT}) AS line_ms
-        FROM ({WIDE_HEADERS}) h JOIN ({LINES}) l ON h.id = l.order_id
-        WHERE {LINE_AT} BETWEEN {HEADER_AT} - INTERVAL 24 HOUR AND {HEADER_AT} + INTERVAL 24 HOUR
-        QUALIFY row_number() OVER (PARTITION BY strftime({LINE_AT}, '%Y-%m-%d'), l.id ORDER BY {LINE_AT} DESC) = 1""",
+          SELECT l.id AS detail_id, l.order_id, l.sku_id, l.order_price, l.sku_num, l.sku_name,
+                 l.split_total_amount, l.split_activity_amount, l.split_coupon_amount,
+                 h.province_id, h.order_status, h.user_id, h.total_amount, h.activity_reduce_amount,
+                 h.coupon_reduce_amount, h.original_total_amount, h.freight_fee, h.freight_fee_reduce,
+                 h.expire_time, h.refundable_time, strftime({LINE_AT}, '%Y-%m-%d %H:%M:%S') AS create_time, h.operate_time,
+                 h.create_date, h.create_hour, h.province_name, h.province_area_code,
+                 h.province_3166_2 AS province_3166_2_code, h.province_iso_code, h.user_age, h.user_gender,
+                 strftime({LINE_AT}, '%Y-%m-%d') AS dt, epoch_ms({LINE_AT}) AS line_ms
+          FROM ({WIDE_HEADERS}) h JOIN ({LINES}) l ON h.id = l.order_id
+          WHERE {LINE_AT} BETWEEN {HEADER_AT} - INTERVAL 24 HOUR AND {HEADER_AT} + INTERVAL 24 HOUR
+          QUALIFY row_number() OVER (
+            PARTITION BY strftime({LINE_AT}, '%Y-%m-%d'), l.id
+            ORDER BY {LINE_AT} DESC, order_price DESC, sku_num DESC, split_total_amount DESC,
+                     split_activity_amount DESC, split_coupon_amount DESC) = 1""",
 }

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegerType, StringType
 
 from millrace.functions.exprs import (
     completed_years,
@@ -89,12 +89,29 @@ def cdc_op_map(spark: SparkSession, sf: str) -> DataFrame:
 
 def cdc_fact_route(spark: SparkSession, sf: str) -> DataFrame:
     changes = cdc.parse_changes(given.changes(spark, sf))
+    return cdc.fact_messages(changes, given.names(spark, given.FACT_TABLES)).select("topic", "key")
+
+
+def cdc_fact_payload(spark: SparkSession, sf: str) -> DataFrame:
+    """The fields of each fact's payload; amounts have more digits than a double holds."""
+    changes = cdc.parse_changes(given.exact_changes(spark, sf))
     routed = cdc.fact_messages(changes, given.names(spark, given.FACT_TABLES))
-    return routed.groupBy("topic").agg(
-        F.count("*").alias("n"), F.sum(F.col("key").cast("bigint")).alias("key_sum")
+    field = lambda name, kind: F.try_variant_get(F.try_parse_json("value"), f"$.{name}", kind)
+    return routed.select(
+        "topic",
+        "key",
+        field("amount", "decimal(38,9)").cast("string").alias("amount"),
+        field("note", "string").alias("note"),
+        field("parts[1].n", "bigint").alias("n"),
     )
 
 
+def json_whole_text(spark: SparkSession, sf: str) -> DataFrame:
+    """One order in five has a second object, or something else, behind its own."""
+    changes = cdc.parse_changes(given.trailed_changes(spark, sf))
+    return changes.select("offset", "rejected", "table", F.get_json_object("data", "$.id").alias("id"))
+
+
 def cdc_dim_rows(spark: SparkSession, sf: str) -> DataFrame:
     changes = cdc.parse_changes(given.changes(spark, sf))
     rows = cdc.dimension_rows(changes, given.names(spark, given.DIM_TABLES))
@@ -158,9 +175,20 @@ def log_start(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def log_fanout(spark: SparkSession, sf: str) -> DataFrame:
-    routed = log_split.fan_out(_logs(spark, sf))
-    ts = F.get_json_object("value", "$.ts").try_cast("bigint")
-    return routed.groupBy("topic").agg(F.count("*").alias("n"), F.sum(ts).alias("ts_sum"))
+    return routed_fields(log_split.fan_out(_logs(spark, sf)))
+
+
+def routed_fields(routed: DataFrame) -> DataFrame:
+    """Each routed message: its topic, key and some fields of its text."""
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    return routed.select(
+        "topic",
+        "key",
+        field("ts").try_cast("bigint").alias("ts"),
+        field("page_id").alias("page_id"),
+        field("during_time").try_cast("bigint").alias("during_time"),
+        F.coalesce(field("display_item"), field("action_item"), field("open_ad_id")).alias("item"),
+    )
 
 
 # --- daily actives ---
@@ -182,6 +210,13 @@ def dau_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return _firsts(spark, sf).select("dt", "mid", "offset", "ts", "page_item", "during_time")
 
 
+def dau_bad_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Some devices tell micro- or nanoseconds: rejected, with their place in the input."""
+    parsed = dau.entries_or_rejected(dau.parse_pages(given.odd_pages(spark, sf)))
+    day = F.when(~F.col("rejected"), F.col("dt"))
+    return parsed.select("partition", "offset", "rejected", day.alias("dt"))
+
+
 def dau_wide(spark: SparkSession, sf: str) -> DataFrame:
     return dau.dau_info(
         _firsts(spark, sf), given.users(spark, sf), given.provinces(spark, sf), given.AS_OF
@@ -190,8 +225,7 @@ def dau_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 def dau_restore(spark: SparkSession, sf: str) -> DataFrame:
     """Days before the cut are stored whole, later ones for new devices alone."""
-    entries = _entries(spark, sf).select("dt", "mid", "ts", "offset", "is_new")
-    firsts = dau.first_of_day(entries.dropna(subset=dau.KEY), ("ts", "offset"))
+    firsts = _firsts(spark, sf)
     stored = firsts.where((F.col("dt") < "2024-01-16") | (F.col("is_new") == "1"))
     return dau.not_yet_stored(firsts, stored).select("dt", "mid", "offset")
 
@@ -272,12 +306,18 @@ _WRITES = [
 
 def sink_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Wide rows, then those of finished orders again with a new status."""
+    path = shared_folder(spark) + "/order_wide"
     wide = orders.with_wide_day(order_wide(spark, sf))
     times = F.when(F.col("order_status") == "F", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     written = wide.withColumn("version", F.explode(times)).withColumn(
         "order_status", F.when(F.col("version") == 2, "S").otherwise(F.col("order_status"))
     )
-    return orders.latest_wide(written, _WRITES).select(
+    # thousands of days, so a folder for each year
+    written = written.withColumn("year", F.substring("dt", 1, 4))
+    for version in (1, 2):
+        write_batch(written.where(F.col("version") == version), f"version-{version}", path, "year")
+    schema = plus(ORDER_WIDE, version=IntegerType(), dt=StringType(), year=StringType())
+    return read_latest(spark, path, schema, ["dt", "detail_id"], _WRITES).select(
         "dt",
         orders.document_id().alias("doc_id"),
         "order_id",
@@ -297,9 +337,7 @@ def sink_by_day(spark: SparkSession, sf: str) -> DataFrame:
         write_batch(wide, "first", path, "dt")
     schema = plus(ORDER_WIDE, dt=StringType())
     stored = read_latest(spark, path, schema, ["dt", "detail_id"], _WRITES[1:])
-    return stored.groupBy("dt").agg(
-        F.count("*").alias("n"), F.sum("sku_num").alias("sku_num"), F.max("detail_id").alias("last_id")
-    )
+    return stored.select("dt", "detail_id", "order_id", "sku_id", "sku_num", "order_price", "user_age", "province_name")
 
 
 def end_offsets(spark: SparkSession, sf: str) -> DataFrame:
@@ -317,6 +355,8 @@ QUERIES = {
         age_years,
         cdc_op_map,
         cdc_fact_route,
+        cdc_fact_payload,
+        json_whole_text,
         cdc_dim_rows,
         cdc_dim_latest,
         cdc_dim_drop,
@@ -329,6 +369,7 @@ QUERIES = {
         log_fanout,
         dau_entry,
         dau_dedup,
+        dau_bad_time,
         dau_wide,
         dau_restore,
         order_enrich,

@@ -233,6 +233,62 @@ def changes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _orders_as_messages(spark: SparkSession, sf: str, value: Column) -> DataFrame:
+    return table(spark, sf, "orders").select(
+        F.lit("ODS_BASE_DB").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("o_orderkey").alias("offset"),
+        F.lit("2024-01-01").cast("timestamp").alias("timestamp"),
+        F.lit(None).cast("string").alias("key"),
+        value.alias("value"),
+    )
+
+
+def exact_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as inserts whose amounts have 29 digits."""
+    key = text("o_orderkey")
+    return _orders_as_messages(
+        spark,
+        sf,
+        F.concat(
+            F.lit('{"type":"insert","table":"order_info","data":{"id":'),
+            key,
+            F.lit(',"amount":12345678901234567890.'),
+            F.lpad(text(F.col("o_orderkey") % 1_000_000_000), 9, "0"),
+            F.lit(',"note":"a ]} of '),
+            key,
+            F.lit('","parts":[{"n":1},{"n":'),
+            key,
+            F.lit("}]}}"),
+        ),
+    )
+
+
+def trailed_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as inserts; behind each fifth stands something that isn't part of it."""
+    key = text("o_orderkey")
+    own = F.concat(F.lit('{"type":"insert","table":"order_info","data":{"id":'), key, F.lit("}}"))
+    ends = [own, F.lit(" junk"), F.lit("],[{}"), F.lit(",")]
+    behind = F.element_at(F.array(*ends), (F.floor(F.col("o_orderkey") / 5) % len(ends) + 1).cast("int"))
+    whole = F.when(F.col("o_orderkey") % 5 == 0, F.concat(own, behind)).otherwise(F.concat(own, F.lit(" \n")))
+    return _orders_as_messages(spark, sf, whole)
+
+
+def odd_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as entry pages; some devices' clocks tell micro- or nanoseconds."""
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    factor = F.when(F.col("event_id") % 7 == 0, 1000).when(F.col("event_id") % 11 == 0, 1_000_000).otherwise(1)
+    record = json_text(F.concat(F.lit("mid_"), text("user_id")).alias("mid"), (ms * factor).alias("ts"))
+    return table(spark, sf, "events").select(
+        F.lit("DWD_PAGE_LOG_TOPIC").alias("topic"),
+        F.pmod("user_id", F.lit(4)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit(None).cast("string").alias("key"),
+        record.alias("value"),
+    )
+
+
 # Provinces are in both lists.
 FACT_TABLES = ["order_info", "order_detail", "base_province"]
 DIM_TABLES = ["user_info", "base_province"]

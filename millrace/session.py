@@ -1,7 +1,9 @@
 """Session settings and the shared work folder."""
 
+import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,12 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _own_folder() -> tempfile.TemporaryDirectory:
+    """Of this process; removed when it ends."""
+    return tempfile.TemporaryDirectory(prefix="millrace-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder for one run, under the folder the cluster names.
 
@@ -33,7 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="millrace-")
+        root = _own_folder().name
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"

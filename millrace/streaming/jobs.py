@@ -2,17 +2,17 @@
 Kafka alike, and starts its queries. A query restarted on its checkpoint goes
 on where it stopped; what a crashed batch left behind, its repeat replaces."""
 
+import logging
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.operators import cdc, dau, log_split, orders
-from millrace.operators.keyed import latest_per_key
-from millrace.operators.skew import BROADCAST_ROWS, at_most
+from millrace.operators.keyed import first_per_key, latest_per_key
 from millrace.schemas import DAU_INFO, DIMENSION_ROW, MESSAGE, STORED_ORDER_WIDE
 from millrace.sinks.batches import (
     BATCH,
@@ -24,13 +24,16 @@ from millrace.sinks.batches import (
 )
 from millrace.sinks.routes import as_messages, batch_to_kafka, route_to_files, route_to_kafka
 from millrace.sources.tables import table_list
-from millrace.streaming.joins import SALTS, stream_first_of_day, stream_pairs
+from millrace.streaming.joins import stream_first_of_day, stream_pairs
 
 Trigger = Mapping[str, object]
 EVERY_5_SECONDS: Trigger = {"processingTime": "5 seconds"}
 
 ARRIVAL = cdc.ARRIVAL
+# Order of the versions of a wide row; of two that arrived together the content decides,
+# so that every run keeps the same one.
 WIDE_ARRIVAL = ["header_at", "line_at"]
+WIDE_ORDER = [*WIDE_ARRIVAL, "order_price", "sku_num", "split_total_amount", "split_activity_amount", "split_coupon_amount"]
 
 
 @dataclass(frozen=True)
@@ -101,18 +104,15 @@ def dimensions(spark: SparkSession, at: Warehouse, on_delete: str = "keep") -> t
     return cdc.user_info(users), cdc.base_province(provinces)
 
 
-def dimensions_for(
-    facts: DataFrame, at: Warehouse, small: bool
-) -> tuple[DataFrame, DataFrame]:
-    """Both dimensions as they are now, for a batch of facts. A ``small`` batch
-    may be broadcast: then no other rows than those it refers to are shuffled."""
+def dimensions_for(facts: DataFrame, at: Warehouse, on_delete: str = "keep") -> tuple[DataFrame, DataFrame]:
+    """Both dimensions as they are now, as far as a batch of facts refers to them.
+    Where the batch's ids are few bytes, Spark broadcasts them, and no other rows
+    than those are shuffled."""
 
     def needed(table: str, key: str) -> DataFrame:
-        versions = _versions(facts.sparkSession, at, table)
-        if small:
-            ids = facts.select(F.col(key).alias("id")).distinct()
-            versions = versions.join(F.broadcast(ids), "id", "left_semi")
-        return cdc.current_rows(versions)
+        ids = facts.select(F.col(key).alias("id")).distinct()
+        versions = _versions(facts.sparkSession, at, table).join(ids, "id", "left_semi")
+        return cdc.current_rows(versions, on_delete)
 
     return (
         cdc.user_info(needed("user_info", "user_id")),
@@ -121,12 +121,14 @@ def dimensions_for(
 
 
 def dau_rows(spark: SparkSession, at: Warehouse) -> DataFrame:
-    return read_batches(spark, at.dau_info, DAU_INFO).drop(BATCH)
+    """The wide row of each device and day: the first, should it be stored twice."""
+    rows = read_batches(spark, at.dau_info, DAU_INFO).drop(BATCH)
+    return first_per_key(rows, dau.KEY, ["ts", *(c for c in DAU_INFO.fieldNames() if c not in (*dau.KEY, "ts"))])
 
 
 def order_wide_rows(spark: SparkSession, at: Warehouse) -> DataFrame:
     """The wide row of each line and day, as last written."""
-    rows = read_latest(spark, at.order_wide, STORED_ORDER_WIDE, ["dt", "detail_id"], WIDE_ARRIVAL)
+    rows = read_latest(spark, at.order_wide, STORED_ORDER_WIDE, ["dt", "detail_id"], WIDE_ORDER)
     return rows.drop(*WIDE_ARRIVAL)
 
 
@@ -185,62 +187,62 @@ def daily_actives(
     messages: DataFrame,
     at: Warehouse,
     as_of: date | Column | None = None,
-    seen: str = "table",
+    seen: str = "state",
     restore: bool = True,
+    on_delete: str = "keep",
     trigger: Trigger = EVERY_5_SECONDS,
 ) -> list[StreamingQuery]:
     """Page messages to the daily-active table, each device once per day.
 
-    ``seen="table"`` asks the table itself which devices a day already has: no
-    page is too late, and a new start needs no state. ``seen="state"`` keeps
-    them in the state store for a day of event time, which makes a batch cost
-    no more than its own rows; ``restore`` still compares with the table, as a
-    first start over an older table must.
+    ``seen="state"`` keeps the devices of a day in the state store for a day after they
+    are read, which makes a batch cost no more than its own rows. ``restore`` compares
+    the first batch of a new checkpoint with the table, as a start over an older table
+    must; should a device come back after its state is gone, ``dau_rows`` gives its
+    first row. ``seen="table"`` asks the table in each batch, and needs no state.
+
+    Messages that can't be used go with the same read to a rejected folder. They pass
+    the state as days of their own, one for each partition and offset.
     """
     if seen not in ("table", "state"):
         raise ValueError(f"seen must be table or state, not {seen!r}")
 
-    def widen(firsts: DataFrame, batch_id: int, compare: bool) -> None:
+    def widen(firsts: DataFrame, name: str, compare: bool) -> None:
         spark = firsts.sparkSession
-        name = batch_name(spark, batch_id)
-        firsts = firsts.persist()
+        fresh = firsts
+        if compare:
+            # The days are read off the folders' names, and the join prunes to those met.
+            stored = read_batches(spark, at.dau_info, DAU_INFO).where(F.col(BATCH) != name)
+            fresh = dau.not_yet_stored(firsts, stored.join(F.broadcast(_days(firsts)), "dt", "left_semi"))
+        fresh = fresh.persist()
         try:
-            small = at_most(firsts, BROADCAST_ROWS)
-            if compare:
-                # one value per day: bounded by the calendar, not by the rows
-                days = [row.dt for row in firsts.select("dt").distinct().collect()]
-                stored = read_partitions(spark, at.dau_info, DAU_INFO, "dt", days)
-                stored = stored.where(F.col(BATCH) != name)
-                fresh = dau.not_yet_stored(firsts, stored, small)
-            else:
-                fresh = firsts
-            users, provinces = dimensions_for(firsts, at, small)
-            wide = dau.dau_info(
-                fresh, users, provinces, as_of, small or None, misses="dau_dimension_misses"
-            )
-            write_batch(wide, name, at.dau_info, "dt")
+            missed = Observation()
+            users, provinces = dimensions_for(fresh, at, on_delete)
+            write_batch(dau.dau_info(fresh, users, provinces, as_of, misses=missed), name, at.dau_info, "dt")
+            report("daily_actives", name, missed)
         finally:
-            firsts.unpersist()
-
-    def from_table(batch: DataFrame, batch_id: int) -> None:
-        pages = dau.pages_of(dau.parse_pages(batch), *ARRIVAL)
-        entries = dau.with_day(dau.entry_pages(pages))
-        widen(dau.first_of_day(entries, ARRIVAL), batch_id, True)
+            fresh.unpersist()
 
-    def from_state(batch: DataFrame, batch_id: int) -> None:
-        widen(batch, batch_id, restore)
+    def work(batch: DataFrame, batch_id: int) -> None:
+        name = batch_name(batch.sparkSession, batch_id)
+        rows = batch.persist()
+        try:
+            write_rejected(rows.where("rejected"), name, at, "daily_actives")
+            firsts = rows.where("NOT rejected")
+            if seen == "table":
+                firsts = dau.first_of_day(firsts, ARRIVAL)
+            widen(firsts, name, seen == "table" or (restore and batch_id == 0))
+        finally:
+            rows.unpersist()
 
-    parsed = dau.parse_pages(messages)
-    if seen == "table":
-        source, work = messages, from_table
-    else:
-        entries = dau.with_day(dau.entry_pages(dau.pages_of(parsed, *ARRIVAL)))
-        source, work = stream_first_of_day(entries), from_state
     name = "daily_actives"
-    return [
-        _start(_each_batch(source, work, at.checkpoint(name)), name, trigger),
-        keep_rejected(parsed, at, name, trigger),
-    ]
+    entries = dau.entries_or_rejected(dau.parse_pages(messages))
+    source = entries if seen == "table" else stream_first_of_day(entries)
+    return [_start(_each_batch(source, work, at.checkpoint(name)), name, trigger)]
+
+
+def _days(firsts: DataFrame) -> DataFrame:
+    """The days of a batch, which clocks can show: at most three million short texts."""
+    return firsts.select("dt").distinct()
 
 
 def widen_orders(
@@ -249,7 +251,8 @@ def widen_orders(
     at: Warehouse,
     as_of: date | Column | None = None,
     lifetime: str = orders.LIFETIME,
-    salts: int = SALTS,
+    salts: int = 1,
+    on_delete: str = "keep",
     trigger: Trigger = EVERY_5_SECONDS,
 ) -> list[StreamingQuery]:
     """Header and line messages to the order wide table, by line and day."""
@@ -258,17 +261,16 @@ def widen_orders(
         name = batch_name(pairs.sparkSession, batch_id)
         pairs = pairs.persist()
         try:
-            small = at_most(pairs, BROADCAST_ROWS)
-            users, provinces = dimensions_for(pairs.select("header.*"), at, small)
+            missed = Observation()
+            users, provinces = dimensions_for(pairs.select("header.*"), at, on_delete)
             wide = orders.merge(
-                orders.enrich_pairs(
-                    pairs, users, provinces, as_of, small or None, misses="order_dimension_misses"
-                ),
+                orders.enrich_pairs(pairs, users, provinces, as_of, misses=missed),
                 F.col("header.at").alias("header_at"),
                 F.col("line.at").alias("line_at"),
             )
-            latest = latest_per_key(orders.with_wide_day(wide), ["dt", "detail_id"], WIDE_ARRIVAL)
+            latest = latest_per_key(orders.with_wide_day(wide), ["dt", "detail_id"], WIDE_ORDER)
             write_batch(latest, name, at.order_wide, "dt")
+            report("widen_orders", name, missed)
         finally:
             pairs.unpersist()
 
@@ -290,9 +292,22 @@ def widen_orders(
     ]
 
 
+def write_rejected(rows: DataFrame, batch: str, at: Warehouse, job: str) -> None:
+    """Messages of a batch that a job could not use, as they came."""
+    write_batch(rows.select(*MESSAGE.fieldNames()), batch, f"{at.rejected}/{job}", "topic")
+
+
 def keep_rejected(parsed: DataFrame, at: Warehouse, job: str, trigger: Trigger) -> StreamingQuery:
-    """Messages a job could not use, as they came, in a folder of their own."""
+    """As ``write_rejected``, by a query of its own: what a join of streams drops can't
+    be told from its output, so its inputs are read once more."""
     name = f"{job}_rejected"
     rows = parsed.where("rejected").select(*MESSAGE.fieldNames())
     writer = route_to_files(rows, f"{at.rejected}/{job}", at.checkpoint(name))
     return _start(writer, name, trigger)
+
+
+def report(job: str, batch: str, missed: Observation) -> None:
+    """Logs the facts of a batch that met no dimension row; an empty batch has none."""
+    counts = missed.get
+    if any(counts.values()):
+        logging.getLogger(__name__).warning("%s, batch %s: %s", job, batch, counts)

@@ -27,7 +27,7 @@ def in_name_order(names, rows):
     return sorted(names), sorted((tuple(row[i] for i in at) for row in rows), key=key)
 
 
-KIND = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+KIND = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def assert_same(df, con, sql: str):
