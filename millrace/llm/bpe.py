@@ -20,13 +20,13 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from tokenizers import Tokenizer
 
 from millrace.llm.common import staged
 
 # Characters of a block: a task holds one, its words and its ids.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 4_000_000
 # Words whose ids are put back together.
 SLICE_WORDS = 200_000
 # Word buckets for each shuffle partition.
@@ -180,12 +180,12 @@ class Encoder:
                     "stamp": table["stamp"],
                     "ids": pa.array([packed(f) for f in flat], pa.binary()),
                     "counts": pa.array([packed(c) for c in counts], pa.binary()),
-                    "seen": pa.array([np.unique(f) for f in flat], pa.list_(pa.int64())),
+                    "seen": pa.array([np.unique(f).astype(np.int32) for f in flat], pa.list_(pa.int32())),
                 }
             )
 
         return words.groupBy("bucket").applyInArrow(
-            each, "block long, bucket int, stamp long, ids binary, counts binary, seen array<long>"
+            each, "block long, bucket int, stamp long, ids binary, counts binary, seen array<int>"
         )
 
     def coded_documents(self, docs: DataFrame, key: str, kind: str) -> DataFrame:
@@ -225,7 +225,7 @@ class Encoder:
         """(id, piece): the vocabulary."""
         tokenizer = Tokenizer.from_str(self.spec.value)
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
-        schema = StructType([StructField("id", LongType()), StructField("piece", StringType())])
+        schema = StructType([StructField("id", IntegerType()), StructField("piece", StringType())])
         return self.spark.createDataFrame([(i, p) for p, i in vocabulary.items()], schema)
 
     def block_pieces(self, coded: DataFrame) -> DataFrame:
@@ -233,7 +233,9 @@ class Encoder:
         pieces = self.pieces()
         if Tokenizer.from_str(self.spec.value).get_vocab_size() <= MOST_PIECES:
             pieces = F.broadcast(pieces)
-        used = coded.select("block", F.explode("seen").alias("id")).distinct()
+        # a block's ids at most, whatever the number of buckets
+        seen = coded.groupBy("block").agg(F.array_distinct(F.flatten(F.collect_list("seen"))).alias("seen"))
+        used = seen.select("block", F.explode("seen").alias("id"))
         named = used.join(pieces, "id").groupBy("block").agg(F.collect_list(F.struct("id", "piece")).alias("named"))
         return named.select("block", F.col("named.id").alias("seen"), F.col("named.piece").alias("pieces"))
 
@@ -263,7 +265,7 @@ def encode(docs: DataFrame, spec: str, key: str = "doc_id", text: str = "text",
     own = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     encoder = Encoder(spark, spec)
     coded = staged(encoder.encoded_words(encoder.word_table(own)), "words")
-    back = coded.select("block", "bucket", "stamp", "ids", "counts", F.lit(None).cast("array<long>").alias("seen"), F.lit(None).cast("array<string>").alias("pieces"))
+    back = coded.select("block", "bucket", "stamp", "ids", "counts", F.lit(None).cast("array<int>").alias("seen"), F.lit(None).cast("array<string>").alias("pieces"))
     if decode:
         named = encoder.block_pieces(coded).selectExpr(
             "block", "-1 AS bucket", "NULL AS stamp", "NULL AS ids", "NULL AS counts", "seen", "pieces"
