@@ -294,6 +294,7 @@ ORACLE = {
           UNION ALL
           SELECT 'DIM:' || "table", key FROM ({CHANGES})
           WHERE {OP} IS NOT NULL AND "table" IN ('user_info', 'base_province')""",
+    "stream_dim_upsert": f"SELECT id, gender, birthday FROM ({USER_VERSIONS})",
     "stream_dau": DAU_WIDE,
     "stream_dau_state": f"""
         SELECT DISTINCT strftime(ts + to_days(CASE WHEN event_id % 10 = 0 THEN 40 ELSE 0 END), '%Y-%m-%d') AS dt,

@@ -19,9 +19,9 @@ from millrace.sinks.batches import (
     batch_name,
     read_batches,
     read_latest,
-    read_partitions,
     write_batch,
 )
+from millrace.sinks.current import read_current, write_current
 from millrace.sinks.routes import as_messages, batch_to_kafka, route_to_files, route_to_kafka
 from millrace.sources.tables import table_list
 from millrace.streaming.joins import stream_first_of_day, stream_pairs
@@ -94,7 +94,12 @@ def _each_batch(stream: DataFrame, work, checkpoint: str) -> DataStreamWriter:
 
 
 def _versions(spark: SparkSession, at: Warehouse, table: str) -> DataFrame:
-    return read_partitions(spark, at.dimensions, DIMENSION_ROW, "table", [table])
+    return read_current(spark, at.dimensions, DIMENSION_ROW, "table", table)
+
+
+def keep_dimensions(rows: DataFrame, at: Warehouse) -> None:
+    """Merges versions of dimension rows into the table of current ones."""
+    write_current(rows, at.dimensions, DIMENSION_ROW, "table", ["table", "id"], ARRIVAL)
 
 
 def dimensions(spark: SparkSession, at: Warehouse, on_delete: str = "keep") -> tuple[DataFrame, DataFrame]:
@@ -175,7 +180,7 @@ def split_changes(
                 batch_to_kafka(routed, servers)
             else:
                 write_batch(as_messages(routed), name, at.routes, "topic")
-            write_batch(cdc.dimension_rows(changes, dims), name, at.dimensions, "table")
+            keep_dimensions(cdc.dimension_rows(changes, dims), at)
         finally:
             changes.unpersist()
 

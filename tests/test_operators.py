@@ -13,9 +13,10 @@ from millrace.functions import exprs
 from millrace.functions.parse import with_json
 from millrace.operators import cdc, dau, keyed, log_split, orders, skew
 from millrace.operators.enrich import with_user_and_province
+from millrace.operators.keyed import latest_per_key
 from millrace.schemas import APP_LOG, MESSAGE, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE
 from millrace.session import shared_folder
-from millrace.sinks import batches
+from millrace.sinks import batches, current
 from millrace.sources.streams import starting_offsets
 from millrace.sources.tables import read_or_empty
 
@@ -339,6 +340,60 @@ def test_batches_repeat_safely_and_the_last_write_wins(spark):
     assert sorted((r.dt, r.k) for r in spark.read.parquet(plain).collect()) == [("d1", 1), ("d1", 3), ("d2", 2)]
 
 
+def test_current_rows_are_kept_by_bucket(spark, monkeypatch):
+    """A batch reads and writes the buckets it touches alone; repeats change nothing."""
+    path = shared_folder(spark)
+    schema = "t string, id string, n int, v string"
+    kind = spark.createDataFrame([], schema).schema
+    listed = []
+    read = current._read
+    monkeypatch.setattr(current, "_read", lambda s, p, k, folders: listed.append(folders) or read(s, p, k, folders))
+
+    def write(*rows):
+        current.write_current(spark.createDataFrame(list(rows), schema), path, kind, "t", ["t", "id"], ["n"])
+
+    def held():
+        rows = current.read_current(spark, path, kind, "t", "a")
+        assert rows.count() <= 2 * 100
+        return {r.id: (r.n, r.v) for r in latest_per_key(rows, ["id"], ["n"]).collect()}
+
+    write(*[("a", str(i), 0, "old") for i in range(100)], ("b", "1", 0, "other"))
+    for n in (3, 1, 2, 3):
+        write(("a", "7", n, f"v{n}"), ("a", "new", n, "x"))
+    write()
+    want = {str(i): (0, "old") for i in range(100)} | {"7": (3, "v3"), "new": (3, "x")}
+    assert held() == want
+    touched = [f for folders in listed[1:5] for f in folders]
+    assert all(f.startswith("t=a/bucket={") and f.count(",") <= 1 for f in touched) and len(touched) == 4
+    # both slots hold the key: were the one being written lost, the other has it
+    slots = spark.read.schema("t string, id string, n int, generation long, bucket int, slot int").parquet(path)
+    newest = slots.where("id = '7'").agg(F.max("generation"), F.count("*")).first()
+    assert newest[0] >= 4 and newest[1] == 2
+    assert latest_per_key(current.read_current(spark, path, kind, "t", "b"), ["id"], ["n"]).count() == 1
+
+
+def test_lookups_and_pairs_leave_the_plan_to_spark(spark):
+    """Nothing runs while they are planned, and no rows are counted in one task."""
+    h, d = spark.range(1000).select("id", F.lit("x").alias("status")), spark.range(5000).select("id", (F.col("id") % 1000).alias("order_id"))
+    group = "planning"
+    spark.sparkContext.setJobGroup(group, "none should run")
+    plans = [plan_of(orders.pair(h, d)), plan_of(skew.lookup_join(d, h.withColumnRenamed("id", "k"), "order_id", "k"))]
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    assert all("SinglePartition" not in p and "GlobalLimit" not in p for p in plans)
+
+
+def test_a_key_of_half_a_percent_is_heavy_with_many_partitions(spark):
+    lines = spark.range(20_000).select("id", F.when(F.col("id") < 100, 1).otherwise(F.col("id") + 10).alias("order_id"))
+    heads = spark.range(1, 3).select("id", F.lit("h").alias("status"))
+    with settings(spark, {"spark.sql.shuffle.partitions": "2000", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert skew.heavy_keys(lines, "order_id") == [1]
+    with settings(spark, {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        both = orders.pair(heads, lines.repartition(4), "full_outer", [1])
+        tasks = both.where("header.id = 1").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in tasks) == 100 and len(tasks) > 4
+        assert both.count() == 20_001
+
+
 def test_misses_are_observed(spark):
     facts = spark.createDataFrame([("1", "7"), ("2", "7"), (None, "8")], "user_id string, province_id string")
     users = spark.createDataFrame([("1", "F", "2000-01-01")], "id string, gender string, birthday string")
