@@ -16,8 +16,9 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import tokenizers
 import zstandard
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
@@ -26,11 +27,9 @@ from tokenizers import Tokenizer
 from millrace.llm.common import staged
 
 # Characters of a block: a task holds one, its words and its ids.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 8_000_000
 # Words whose ids are put back together.
 SLICE_WORDS = 200_000
-# Word buckets for each shuffle partition.
-BUCKETS = 4
 # A vocabulary up to this size is broadcast as id-to-piece table.
 MOST_PIECES = 1_000_000
 # The split of the vocabularies for which there is a quick path.
@@ -50,27 +49,45 @@ def byte_letters() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
+def tokenizer_of(spec: str) -> Tokenizer:
+    """The tokenizer, loaded once in a worker's life: each load leaves some MB behind.
+
+    This module's functions come to a worker anew with each task, and what they hold
+    goes with it; so the tokenizers are kept beside the library that they belong to.
+    """
+    held = vars(tokenizers).setdefault("_loaded_by_millrace", {})
+    if spec not in held:
+        held[spec] = Tokenizer.from_str(spec)
+    return held[spec]
+
+
 class Splitter:
     """Cuts a text into the words that the tokenizer merges within.
 
     Texts of Latin letters take a pattern, all others the library's normalizer and
-    pre-tokenizer. Special tokens are cut out first, as the library does.
+    pre-tokenizer, which are loaded when the first such text comes. Special tokens are
+    cut out first, as the library does.
     """
 
     def __init__(self, spec: str):
-        loaded, tokenizer = json.loads(spec), Tokenizer.from_str(spec)
-        self.normalizer, self.pre = tokenizer.normalizer, tokenizer.pre_tokenizer
-        special = [t["content"] for t in loaded.get("added_tokens") or []]
-        self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.quick = self.plain = None
+        loaded = json.loads(spec)
+        self.special_tokens = [t["content"] for t in loaded.get("added_tokens") or []]
         kinds = [n["type"] for n in (loaded.get("normalizer") or {}).get("normalizers", [])]
-        if kinds == QUICK_NORMALIZERS and QUICK_SPLIT in spec.replace("\\\\", "\\"):
-            letter, number = (
-                "".join(re.escape(chr(c)) for c in range(0x300) if unicodedata.category(chr(c))[0] == k) for k in "LN"
-            )
-            self.quick = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^ \t\n\r{letter}{number}]+")
-            # Composed letters without a decomposition beyond the range, one case each.
-            self.plain = re.compile("[\t\n\r -~¡-¬®-įı-ž]*")
+        self.is_quick = kinds == QUICK_NORMALIZERS and QUICK_SPLIT in spec.replace("\\\\", "\\")
+
+    def ready(self, spec: Broadcast) -> "Splitter":
+        """In a task: compiles the patterns. ``spec`` is read only if a text needs it."""
+        self.spec, self.library = spec, None
+        tokens = sorted(self.special_tokens, key=len, reverse=True)
+        self.special = re.compile("|".join(map(re.escape, tokens))) if tokens else None
+        letter, number = (
+            "".join(re.escape(chr(c)) for c in range(0x300) if unicodedata.category(chr(c))[0] == k) for k in "LN"
+        )
+        # letters first: no other alternative begins with one
+        self.quick = re.compile(f"[{letter}]+|'(?:s|t|re|ve|m|ll|d)|[{number}]|[^ \t\n\r{letter}{number}]+")
+        # Composed letters without a decomposition beyond the range, one case each.
+        self.plain = re.compile("[\t\n\r -~¡-¬®-įı-ž]*") if self.is_quick else None
+        return self
 
     def words(self, text: str) -> list[str]:
         if self.special is None or not self.special.search(text):
@@ -84,8 +101,9 @@ class Splitter:
     def _words(self, text: str) -> list[str]:
         if self.plain is not None and self.plain.fullmatch(text):
             return self.quick.findall(text.lower())
-        normal = self.normalizer.normalize_str(text) if self.normalizer else text
-        words = [normal[i:j] for _, (i, j) in self.pre.pre_tokenize_str(normal)]
+        self.library = self.library or tokenizer_of(self.spec.value)
+        normal = self.library.normalizer.normalize_str(text) if self.library.normalizer else text
+        words = [normal[i:j] for _, (i, j) in self.library.pre_tokenizer.pre_tokenize_str(normal)]
         return [SPECIAL + w if w[0] == SPECIAL else w for w in words]
 
 
@@ -100,31 +118,48 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], splitter: Splitter):
-    """(block, keys, lengths, codes, words): a block is so many characters of one partition."""
+class Codes(dict):
+    """Words to numbers in the order of their first appearance."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = code = len(self)
+        return code
+
+
+def gathered(values: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Runs of values, one after another: run i has count[i] of them from first[i] on."""
+    ends = np.cumsum(count)
+    return values[np.repeat(first - (ends - count), count) + np.arange(count.sum())]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], splitter: Splitter, coded: bool):
+    """(block, keys, codes of each document, words): a block is so many characters of
+    one partition. Without ``coded`` only the words are gathered, in the same order."""
     part, number = TaskContext.get().partitionId(), 0
-    keys, lengths, codes, count, chars = [], [], [], {}, 0
+    keys, codes, words, chars = [], [], Codes(), 0
     for batch in batches:
         for key, text in zip(batch.column(0), batch.column(1), strict=True):
             text = text.as_py() or ""
-            own = [count.setdefault(w, len(count)) for w in splitter.words(text)]
+            own = splitter.words(text)
             keys.append(key)
-            lengths.append(len(own))
-            codes.append(np.array(own, np.int32))
+            if coded:
+                codes.append(np.array(list(map(words.__getitem__, own)), np.int32))
+            else:
+                words.update(dict.fromkeys(own))
             chars += len(text)
             if chars >= BLOCK_CHARS:
-                yield part << 24 | number, keys, lengths, np.concatenate(codes), list(count)
-                number, keys, lengths, codes, count, chars = number + 1, [], [], [], {}, 0
+                yield part << 24 | number, keys, codes, list(words)
+                number, keys, codes, words, chars = number + 1, [], [], Codes(), 0
     if keys:
-        yield part << 24 | number, keys, lengths, np.concatenate(codes), list(count)
+        yield part << 24 | number, keys, codes, list(words)
 
 
 def _bucketed(words: list[str], buckets: int) -> tuple[list[list[str]], int]:
     """The words of each bucket in order, and a checksum of them all."""
     dealt: list[list[str]] = [[] for _ in range(buckets)]
-    for w in sorted(words):
+    for w in words:
         dealt[crc32(w.encode("utf-8", "surrogatepass")) % buckets].append(w)
-    return dealt, crc32("\n".join(w for b in dealt for w in b).encode("utf-8", "surrogatepass"))
+    return dealt, crc32("\n".join(words).encode("utf-8", "surrogatepass"))
 
 
 class Encoder:
@@ -132,15 +167,15 @@ class Encoder:
 
     def __init__(self, spark: SparkSession, spec: str):
         self.spark = spark
-        self.spec = spark.sparkContext.broadcast(spec)
-        self.buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.spec, self.splitter = spark.sparkContext.broadcast(spec), Splitter(spec)
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def word_table(self, docs: DataFrame) -> DataFrame:
         """(bucket, block, stamp, words): each block's distinct words, once."""
-        spec, buckets = self.spec, self.buckets
+        spec, splitter, buckets = self.spec, self.splitter, self.buckets
 
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for block, _, _, _, words in _blocks(batches, Splitter(spec.value)):
+            for block, _, _, words in _blocks(batches, splitter.ready(spec), coded=False):
                 dealt, stamp = _bucketed(words, buckets)
                 full = [i for i in range(buckets) if dealt[i]]
                 yield pa.RecordBatch.from_arrays(
@@ -160,19 +195,24 @@ class Encoder:
         spec = self.spec
 
         def each(table: pa.Table) -> pa.Table:
-            tokenizer, letters = Tokenizer.from_str(spec.value), byte_letters()
+            tokenizer, letters = tokenizer_of(spec.value), byte_letters()
             table = table.sort_by("block")
             lists = [json.loads(w) for w in table["words"].to_pylist()]
-            ids_of = {}
-            for w in {w for of in lists for w in of}:
+            place, encoded = Codes(), []
+            for w in dict.fromkeys(w for of in lists for w in of):
+                place[w] = len(encoded)
                 word = w.removeprefix(SPECIAL)
                 if word != w and word[0] != SPECIAL:
-                    ids_of[w] = [tokenizer.token_to_id(word)]
+                    encoded.append([tokenizer.token_to_id(word)])
                 else:
                     written = "".join([letters[b] for b in word.encode("utf-8", "surrogatepass")])
-                    ids_of[w] = [t.id for t in tokenizer.model.tokenize(written)]
-            flat = [np.array([i for w in of for i in ids_of[w]], np.int64) for of in lists]
-            counts = [np.array([len(ids_of[w]) for w in of], np.int64) for of in lists]
+                    encoded.append([t.id for t in tokenizer.model.tokenize(written)])
+            count = np.array([len(e) for e in encoded], np.int32)
+            first = np.cumsum(count) - count
+            ids = np.array([i for e in encoded for i in e], np.int32)
+            at = [np.array(list(map(place.__getitem__, of)), np.int32) for of in lists]
+            counts = [count[a] for a in at]
+            flat = [gathered(ids, first[a], n) for a, n in zip(at, counts, strict=True)]
             return pa.table(
                 {
                     "block": table["block"],
@@ -193,10 +233,11 @@ class Encoder:
 
         A code is the place of a word among the block's, in the order of word_table.
         """
-        spec, buckets = self.spec, self.buckets
+        spec, splitter, buckets = self.spec, self.splitter, self.buckets
 
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for block, keys, lengths, codes, words in _blocks(batches, Splitter(spec.value)):
+            for block, keys, each_codes, words in _blocks(batches, splitter.ready(spec), coded=True):
+                lengths, codes = [len(c) for c in each_codes], np.concatenate(each_codes)
                 dealt, stamp = _bucketed(words, buckets)
                 place = {w: i for i, w in enumerate(w for b in dealt for w in b)}
                 # Sent as ranks by frequency: most are small numbers and compress well.
@@ -291,10 +332,9 @@ def encode(docs: DataFrame, spec: str, key: str = "doc_id", text: str = "text",
             """Rows of the documents from i to j: a block's ids are many times its words."""
             own = code[bounds[i] : bounds[j]]
             n = count[own]
-            ends = np.cumsum(n)
-            out = ids[np.repeat(first[own] - (ends - n), n) + np.arange(n.sum())]
+            out = gathered(ids, first[own], n)
             at = bounds[i : j + 1] - bounds[i]
-            offsets = pa.array(np.r_[0, ends][at].astype(np.int32))
+            offsets = pa.array(np.r_[0, np.cumsum(n)][at].astype(np.int32))
             columns = {"key": keys[i:j], "ids": pa.ListArray.from_arrays(offsets, pa.array(out, pa.int32()))}
             if decode:
                 each = [written[c] for c in own.tolist()]
