@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.log_split import PAGE_TOPIC
 from millrace.session import tune
+from millrace.sinks.current import BUCKETS
 from millrace.sources.streams import kafka_stream, message_stream
 from millrace.streaming import jobs
 from millrace.streaming.progress import end_positions, rates
@@ -77,10 +78,11 @@ def main() -> None:
     parser.add_argument("--once", action="store_true", help="read what there is, then stop")
     parser.add_argument("--start", type=json.loads, help='first offsets, as {"topic": {"0": 12}}')
     parser.add_argument("--on-delete", choices=("keep", "drop"), default="keep", help="deleted dimension rows")
+    parser.add_argument("--buckets", type=int, default=BUCKETS, help="buckets of a dimension table")
     args = parser.parse_args()
     spark = tune(SparkSession.builder.appName(args.job).getOrCreate())
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
-    at = jobs.Warehouse(args.root)
+    at = jobs.Warehouse(args.root, args.buckets)
     wait(spark, start(spark, args.job, at, args.servers, trigger, args.start, args.on_delete))
 
 

@@ -21,7 +21,7 @@ from millrace.sinks.batches import (
     read_latest,
     write_batch,
 )
-from millrace.sinks.current import read_current, write_current
+from millrace.sinks.current import BUCKETS, read_current, write_current
 from millrace.sinks.routes import as_messages, batch_to_kafka, route_to_files, route_to_kafka
 from millrace.sources.tables import table_list
 from millrace.streaming.joins import stream_first_of_day, stream_pairs
@@ -41,6 +41,8 @@ class Warehouse:
     """Folders of one warehouse under a root that all executors share."""
 
     root: str
+    # Of each dimension table; see sinks/current.py.
+    buckets: int = BUCKETS
 
     @property
     def routes(self) -> str:
@@ -99,7 +101,7 @@ def _versions(spark: SparkSession, at: Warehouse, table: str) -> DataFrame:
 
 def keep_dimensions(rows: DataFrame, at: Warehouse) -> None:
     """Merges versions of dimension rows into the table of current ones."""
-    write_current(rows, at.dimensions, DIMENSION_ROW, "table", ["table", "id"], ARRIVAL)
+    write_current(rows, at.dimensions, DIMENSION_ROW, "table", ["table", "id"], ARRIVAL, at.buckets)
 
 
 def dimensions(spark: SparkSession, at: Warehouse, on_delete: str = "keep") -> tuple[DataFrame, DataFrame]:

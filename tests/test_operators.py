@@ -354,14 +354,17 @@ def test_current_rows_are_kept_by_bucket(spark, monkeypatch):
 
     def held():
         rows = current.read_current(spark, path, kind, "t", "a")
-        assert rows.count() <= 2 * 100
+        assert rows.count() <= 3 * 102
         return {r.id: (r.n, r.v) for r in latest_per_key(rows, ["id"], ["n"]).collect()}
 
     write(*[("a", str(i), 0, "old") for i in range(100)], ("b", "1", 0, "other"))
     for n in (3, 1, 2, 3):
         write(("a", "7", n, f"v{n}"), ("a", "new", n, "x"))
     write()
-    want = {str(i): (0, "old") for i in range(100)} | {"7": (3, "v3"), "new": (3, "x")}
+    # another number of buckets: the last row counts, wherever it lies
+    moved = spark.createDataFrame([("a", "9", 5, "moved")], schema)
+    current.write_current(moved, path, kind, "t", ["t", "id"], ["n"], buckets=7)
+    want = {str(i): (0, "old") for i in range(100)} | {"7": (3, "v3"), "new": (3, "x"), "9": (5, "moved")}
     assert held() == want
     touched = [f for folders in listed[1:5] for f in folders]
     assert all(f.startswith("t=a/bucket={") and f.count(",") <= 1 for f in touched) and len(touched) == 4
