@@ -30,21 +30,32 @@ PACK = 256
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def fingerprint(text: bytes, words: int) -> bytes:
-    """Of the text's word shingles, repeats included; eight bytes, the high one first.
+def shingles(text: bytes, words: int) -> list[bytes]:
+    """The text's word shingles, repeats included.
 
     Only A-Z are lowered, and words end at ASCII white space; fewer words than a
-    shingle has are one shingle, no words give zero.
+    shingle has are one shingle, no words give none.
     """
     parts = text.lower().split()
     if not parts:
-        return bytes(8)
+        return []
     line = b" ".join(parts)
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1
     starts = np.r_[0, ends[:-1] + 1]
     n = max(1, len(parts) - words + 1)
-    spans = zip(starts[:n].tolist(), ends[len(parts) - n :].tolist(), strict=True)
-    hashes = b"".join([xxhash.xxh64_digest(line[i:j], SEED) for i, j in spans])
+    return [line[i:j] for i, j in zip(starts[:n].tolist(), ends[len(parts) - n :].tolist(), strict=True)]
+
+
+def fingerprint(text: bytes, words: int) -> bytes:
+    """Of the text's word shingles, repeats included; eight bytes, the high one first.
+
+    No words give zero.
+    """
+    spans = shingles(text, words)
+    if not spans:
+        return bytes(8)
+    n = len(spans)
+    hashes = b"".join([xxhash.xxh64_digest(s, SEED) for s in spans])
     bits = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 19):
         part = np.frombuffer(hashes[i : i + (1 << 19)], np.uint8)
@@ -217,8 +228,12 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     one whose text has the smallest hash. Only keys and hashes are grouped; the texts
     shuffle once, to meet the keys that stay.
     """
+    return first_of_each(docs, classes(docs, key, text, words), key, text)
+
+
+def first_of_each(docs: DataFrame, of: DataFrame, key: str, text: str) -> DataFrame:
+    """The first row of each root, for ``of`` with (id, mark, root) of each row of ``docs``."""
     name = F.coalesce(F.col(key).cast("string"), F.lit("null:")).alias("_key")
-    of = classes(docs, key, text, words)
     first = of.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "mark")).alias("first"))
     kept = first.select(F.coalesce(F.col("first.id").cast("string"), F.lit("null:")).alias("_key"), F.col("first.mark").alias("_mark"))
     rows = docs.select("*", name, mark(text).alias("_mark"))
