@@ -1,5 +1,7 @@
 """Known licences: whole texts and one-line notices."""
 
+from pathlib import Path
+
 # The public texts of the licences, without their copyright lines.
 MIT = """MIT License
 
@@ -96,6 +98,24 @@ LICENCES = [
     ("MIT", MIT),
 ]
 
+BSD_3 = BSD_2.replace("2-Clause", "3-Clause").replace(
+    "\nTHIS SOFTWARE IS",
+    """
+3. Neither the name of the copyright holder nor the names of its contributors
+   may be used to endorse or promote products derived from this software without
+   specific prior written permission.
+
+THIS SOFTWARE IS""",
+    1,
+)
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(license_id, text) of published whole texts: the files beside this module, named by id."""
+    files = sorted((Path(__file__).parent / "licence_data").glob("*.txt"))
+    return [("BSD-3-Clause", BSD_3), *[(f.name.removesuffix(".txt"), f.read_text()) for f in files]]
+
+
 # Lines by which a document names its licence.
 NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -104,6 +124,30 @@ NOTICES = [
     ("MIT", "Released under the MIT License."),
 ]
 
+# Names of licences in further usual notices.
+NAMES = {
+    "0BSD": ["BSD Zero Clause License"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause License"],
+    "BSD-3-Clause": ["BSD 3-Clause License"],
+    "CC-BY-4.0": ["CC BY 4.0", "Creative Commons Attribution 4.0 International License"],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"],
+    "CC-BY-SA-4.0": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GNU GPL v2", "GNU General Public License v2.0"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GNU GPL v3", "GNU General Public License v3.0"],
+    "ISC": ["ISC License"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License, version 3"],
+    "MIT": ["MIT License"],
+    "MPL-2.0": ["Mozilla Public License, Version 2.0", "Mozilla Public License 2.0"],
+}
+OPENINGS = ["Licensed under", "Released under", "Distributed under", "This work is licensed under", "This project is licensed under"]
+MORE_NOTICES = [
+    *[(i, f"{opening}{the} {name}") for i, names in NAMES.items() for name in names for opening in OPENINGS for the in ("", " the")],
+    *[(i, f"SPDX-License-Identifier: {i}") for i in NAMES],
+]
+
 # Spellings that count as one, as published licence-matching guidelines have them.
 SPELLINGS = [
     ("licence", "license"),

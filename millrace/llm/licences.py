@@ -6,11 +6,13 @@ licences. Both sides go through the same expressions, so two texts share a diges
 exactly if their canonical forms are equal.
 """
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import replaced, without
-from millrace.llm.licence_texts import LICENCES, NOTICES, SPELLINGS
+from millrace.llm.licence_texts import LICENCES, MORE_NOTICES, NOTICES, SPELLINGS, full_texts
 
 # Lines that name a holder, not a condition. Java's and RE2's syntax alike.
 COPYRIGHT_LINE = (
@@ -22,6 +24,7 @@ COPYRIGHT_LINE = (
 BETWEEN_WORDS = (
     r"[\x00-\x2f\x3a-\x60\x7b-\x7f\x{80}-\x{bf}\x{2000}-\x{206f}\x{3000}-\x{3003}\x{feff}]+"
 )
+BETWEEN_WORDS_OF_LINE = BETWEEN_WORDS.replace(r"\x00-\x2f", r"\x00-\x09\x0b-\x2f")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -34,6 +37,16 @@ def canonical(text: Column) -> Column:
     return replaced(out, SPELLINGS)
 
 
+def canonical_of(text: str) -> str:
+    """The canonical form of a constant, without Spark."""
+    copyright_line, between = (re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), r) for r in (COPYRIGHT_LINE, BETWEEN_WORDS))
+    out = text.translate(str.maketrans(UPPER, LOWER)).replace("\r\n", "\n").replace("\r", "\n")
+    out = re.sub(between, " ", re.sub(copyright_line, "\n", out)).strip(" ")
+    for a, b in SPELLINGS:
+        out = out.replace(a, b)
+    return out
+
+
 def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
@@ -45,7 +58,7 @@ def table(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
-    return table(spark, LICENCES)
+    return table(spark, [*LICENCES, *full_texts()])
 
 
 def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
@@ -68,14 +81,24 @@ def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
     return rows.withColumn("digest", digest(F.col(text))).join(by_digest, "digest", "left")
 
 
-def notices(text: Column, known: list[tuple[str, str]] = NOTICES) -> Column:
+def notices(text: Column, known: list[tuple[str, str]] = [*NOTICES, *MORE_NOTICES]) -> Column:
     """Ids of the licences that single lines name: sorted, joined by commas; else ''.
 
-    ``known`` is written into the plan, so it is a list of notices, not a table.
+    A line is a notice if their canonical forms are equal. ``known`` is written into the
+    plan, so it is a list of notices, not a table.
     """
-    ids = F.create_map(*[x for i, t in known for x in (digest(F.lit(t)), F.lit(i))])
-    line = F.split(replaced(F.coalesce(text, F.lit("")), [("\r\n", "\n"), ("\r", "\n")]), "\n", -1)
-    # A line without any of these can't be a notice, and most lines have none.
-    likely = F.filter(line, lambda x: F.lower(x).rlike("licen[cs]|copyright|cc by"))
-    found = F.transform(likely, lambda x: F.try_element_at(ids, digest(x)))
-    return F.array_join(F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull()))), ",")
+    out = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    out = replaced(out, [("\r\n", "\n"), ("\r", "\n")])
+    out = F.regexp_replace(out, COPYRIGHT_LINE, "\n")
+    # The canonical form of each line: as of a text, but line ends stay.
+    out = replaced(F.regexp_replace(out, BETWEEN_WORDS_OF_LINE, " "), [(" \n", "\n"), ("\n ", "\n")])
+    lines = F.split(replaced(F.trim(out), SPELLINGS), "\n", -1)
+    ids: dict[str, list[str]] = {}
+    for i, t in known:
+        if form := canonical_of(t):
+            ids.setdefault(form, []).append(i)
+    if not ids:
+        return F.lit("")
+    table = F.create_map(*[x for form, of in ids.items() for x in (F.lit(form), F.array(*map(F.lit, of)))])
+    named = F.transform(F.array_intersect(lines, F.map_keys(table)), lambda x: F.element_at(table, x))
+    return F.array_join(F.array_sort(F.array_distinct(F.flatten(named))), ",")

@@ -1,0 +1,37 @@
+from pyspark.sql import functions as F
+
+from millrace.llm import licence_texts, licences
+
+IDS = [
+    "0BSD", "Apache-2.0", "Apache-2.0-notice", "Artistic-1.0-Perl", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GFDL-1.2", "GFDL-1.3",
+    "GPL-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-1.1", "MPL-2.0",
+]
+
+
+def known():
+    return [*licences.LICENCES, *licence_texts.full_texts()]
+
+
+def scanned(llm, rows):
+    frame = llm.createDataFrame(rows, "doc_id string, text string")
+    return sorted((r.doc_id, r.license_id) for r in licences.scan(frame, licences.known_licences(llm)).collect())
+
+
+def test_whole_published_texts_are_known(llm):
+    assert sorted({i for i, _ in known()}) == IDS
+    rows = [(i, " ".join(t.upper().split(" "))) for i, t in known()]
+    assert scanned(llm, rows) == sorted((i, i) for i, _ in rows)
+
+
+def test_notices_of_callers_and_other_wordings(llm):
+    texts = ["a\r\n * CC0 1.0 *\nPublic domain!\n\n", "# Licensed under the MIT Licence", "SPDX-License-Identifier: MPL-2.0", "x\n\n...", "cc0\n1.0"]
+    frame = llm.createDataFrame([(t,) for t in texts], "text string")
+    own = [("CC0-1.0", "CC0 1.0"), ("PD", "public domain"), ("none", "..."), ("again", "CC0 1.0.")]
+    assert [r[0] for r in frame.select(licences.notices(F.col("text"), own)).collect()] == ["CC0-1.0,PD,again", "", "", "", ""]
+    assert [r[0] for r in frame.select(licences.notices(F.col("text"))).collect()] == ["", "MIT", "MPL-2.0", "", ""]
+
+
+def test_canonical_form_without_spark(llm):
+    texts = [t for _, t in [*known(), *licences.NOTICES, *licence_texts.MORE_NOTICES]] + ["", "é “a”\r\n© 2020 b\rCopyright (c) 2 x\n\u3000Ω"]
+    frame = llm.createDataFrame([(t,) for t in texts], "text string").select("text", licences.canonical(F.col("text")).alias("form"))
+    assert all(licences.canonical_of(r.text) == r.form for r in frame.collect())
