@@ -173,13 +173,15 @@ def index(rows: DataFrame, key: str, vector: str, k: int) -> tuple[DataFrame, in
     """The graphs, a row for each shard, and the number of shards.
 
     Every row is indexed whose vector is valid and not zero. Equal vectors are one node
-    that lists the k + 1 smallest of their ids: a query's k nearest, its own id apart,
-    can be among no others. Vectors of another dimension are other shards.
+    that lists the k + 1 smallest of their different ids: a query's k nearest, its own
+    id apart, can be among no others. A repeated row (id and vector) counts up to k
+    times. Vectors of another dimension are other shards.
     """
     nonzero = points(rows, key, vector).where(F.exists("v", lambda x: x != 0))
+    given = nonzero.groupBy("id", "v").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("n"))
     order = Window.partitionBy("v").orderBy(F.col("id").asc_nulls_last())
-    first = nonzero.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k + 1)
-    nodes = staged(first.groupBy("v").agg(F.collect_list("id").alias("ids"), F.max(F.col("id").isNull()).alias("nulls")), "nodes")
+    first = given.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k + 1)
+    nodes = staged(first.groupBy("v").agg(F.flatten(F.collect_list(F.array_repeat("id", F.col("n")))).alias("ids")), "nodes")
     shards = pieces(nodes.count(), SHARD_ROWS)
 
     def build(table: pa.Table) -> pa.Table:
@@ -187,12 +189,11 @@ def index(rows: DataFrame, key: str, vector: str, k: int) -> tuple[DataFrame, in
         x = matrix(table["v"])
         v = units(x)
         layers = [layer(v, of, LINKS * 2 if i == 0 else LINKS) for i, of in enumerate(levels(len(x)))]
-        members = [m + [None] * n for m, n in zip(table["ids"].to_pylist(), table["nulls"].to_pylist(), strict=True)]
         return pa.table(
             {
                 "dim": pa.array([x.shape[1]], pa.int32()),
                 "shard": table["shard"][:1],
-                "members": pa.array([members], pa.list_(pa.list_(pa.int64()))),
+                "members": pa.array([table["ids"].to_pylist()], pa.list_(pa.list_(pa.int64()))),
                 "vectors": pa.array([x.ravel()], pa.list_(pa.float64())),
                 "sizes": pa.array([[len(b) for b, _ in layers]], pa.list_(pa.int32())),
                 "bounds": pa.array([np.concatenate([b for b, _ in layers])], pa.list_(pa.int32())),
@@ -201,7 +202,7 @@ def index(rows: DataFrame, key: str, vector: str, k: int) -> tuple[DataFrame, in
         )
 
     dealt = nodes.select(
-        "v", "ids", "nulls", F.size("v").alias("dim"), F.xxhash64("v").alias("order"),
+        "v", "ids", F.size("v").alias("dim"), F.xxhash64("v").alias("order"),
         F.pmod(F.xxhash64(F.lit("shard"), "v"), F.lit(shards)).cast("int").alias("shard"),
     )
     return dealt.groupBy("dim", "shard").applyInArrow(build, SHARD), shards
@@ -241,8 +242,8 @@ def search(
     ``queries`` has the columns of ``rows``. Null, empty and zero vectors and those with
     null or non-finite components take no part; rows of a query's id are no candidates
     of it, and vectors of another dimension neither. A null id is a candidate like
-    others, the last among ties. Repeated queries count once. With fewer candidates
-    than k all are given; without any, nothing.
+    others, the last among ties. Repeated queries count once, repeated rows each. With
+    fewer candidates than k all are given; without any, nothing.
     """
     graphs, shards = index(rows, key, vector, k)
     graphs = staged(graphs, "graphs")

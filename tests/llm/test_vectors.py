@@ -125,3 +125,11 @@ def test_scores_that_are_not_exact_are_an_error(llm):
     frame = llm.createDataFrame([(0, [2.0**40]), (1, [2.0**40])], "vec_id long, vector array<double>")
     with pytest.raises(Exception, match="beyond"):
         topk.search(frame, frame).collect()
+
+
+def test_repeats_of_the_query_row_leave_its_copies(llm):
+    rows = [(50, [1.0, 2.0])] * 6 + [(i, [1.0, 2.0]) for i in range(51, 60)] + [(7, [1.0, 2.1]), (None, [3.0, -1.0]), (None, [3.0, -1.0]), (100, [3.0, -1.0])]
+    frame = llm.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((tuple(r)[:3] for r in hnsw.search(frame, frame.where("vec_id IN (50, 100)")).collect()), key=repr)
+    assert [g[2] for g in got if g[0] == 50] == [51, 52, 53, 54, 55]
+    assert [g[2] for g in got if g[0] == 100] == [None, None, 50, 50, 50]
