@@ -24,19 +24,38 @@ COPYRIGHT_LINE = (
 BETWEEN_WORDS = (
     r"[\x00-\x2f\x3a-\x60\x7b-\x7f\x{80}-\x{bf}\x{2000}-\x{206f}\x{3000}-\x{3003}\x{feff}]+"
 )
+# Lines of a lower-case text that name a holder in any usual order, not those of a
+# licence's own sentences. '(c)' without a year may be a list item and stays.
+HOLDER_LINE = (
+    r"(?:^|\n)[ \t*#/;.-]*"
+    r"(?:\(c\)[ \t,:]*(?:copyright\b|[^\n]*\b(?:19|20)[0-9]{2}\b)"
+    r"|copyright\b(?![ \t]*(?:notices?|holders?|owners?|licen[cs]es?|laws?|and|or|on|in|of|to|for|is|are|as|that|which|"
+    r"statements?|interests?|rights?|protection|treaty|treaties|ownership|disclaimers?|status|permission|information|infringement)\b)"
+    r"(?=[^\n]*[a-z0-9]))"
+    r"[^\n]*"
+)
 BETWEEN_WORDS_OF_LINE = BETWEEN_WORDS.replace(r"\x00-\x2f", r"\x00-\x09\x0b-\x2f")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def canonical(text: Column) -> Column:
     """The canonical form; the empty text for null."""
-    out = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    out = replaced(out, [("\r\n", "\n"), ("\r", "\n")])
-    out = F.regexp_replace(out, COPYRIGHT_LINE, "\n")
+    out = F.regexp_replace(lowered(text), COPYRIGHT_LINE, "\n")
     out = F.trim(F.regexp_replace(out, BETWEEN_WORDS, " "))
     return replaced(out, SPELLINGS)
 
 
+def lowered(text: Column) -> Column:
+    """With A-Z lowered and one kind of line end; the empty text for null."""
+    out = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    return replaced(out, [("\r\n", "\n"), ("\r", "\n")])
+
+
+def without_holders(text: Column) -> Column:
+    """The lowered text without the lines that name a holder."""
+    return F.regexp_replace(lowered(text), HOLDER_LINE, "\n")
+
+
 def canonical_of(text: str) -> str:
     """The canonical form of a constant, without Spark."""
     copyright_line, between = (re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), r) for r in (COPYRIGHT_LINE, BETWEEN_WORDS))
@@ -65,20 +84,28 @@ def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
     """All rows and columns of ``docs``, with ``digest`` and ``license_id``.
 
     ``known``: license_id and text; Spark broadcasts their digests if its size check
-    allows, else both sides shuffle by digest. ``license_id`` is null where nothing
+    allows, else both sides shuffle by digest. A text that isn't known by its digest is
+    looked up without the lines that name a holder. ``license_id`` is null where nothing
     matches; of several licences with one canonical form the smallest id is given.
     A text that is null, empty or without words has the digest of the empty text
     and matches nothing. Repeated rows stay; columns called digest or license_id
     are replaced.
     """
-    by_digest = (
-        known.select(digest(F.col("text")).alias("digest"), canonical(F.col("text")).alias("form"), "license_id")
-        .where(F.col("form") != "")
-        .groupBy("digest")
-        .agg(F.min("license_id").alias("license_id"))
-    )
+
+    def by(form: Column, name: str, found: str) -> DataFrame:
+        forms = known.select(form.alias("form"), "license_id").where(F.col("form") != "")
+        return forms.groupBy(F.sha2(F.col("form").cast("binary"), 256).alias(name)).agg(F.min("license_id").alias(found))
+
+    bare = without_holders(F.col(text))
+    other = F.when(bare != lowered(F.col(text)), digest(bare))
+    names = {c.lower() for c in docs.columns}
+    other_digest, other_id = (next(n for n in (f"_{x}{i}" for i in range(len(names) + 1)) if n not in names) for x in ("bare", "other"))
     rows = without(docs, ["digest", "license_id"])
-    return rows.withColumn("digest", digest(F.col(text))).join(by_digest, "digest", "left")
+    looked = rows.select(digest(F.col(text)).alias("digest"), "*", other.alias(other_digest))
+    whole = by(canonical(F.col("text")), "digest", "license_id")
+    stripped = by(canonical(without_holders(F.col("text"))), other_digest, other_id)
+    met = looked.join(whole, "digest", "left").join(stripped, other_digest, "left")
+    return met.withColumn("license_id", F.coalesce("license_id", other_id)).drop(other_digest, other_id)
 
 
 def notices(text: Column, known: list[tuple[str, str]] = [*NOTICES, *MORE_NOTICES]) -> Column:
@@ -87,9 +114,7 @@ def notices(text: Column, known: list[tuple[str, str]] = [*NOTICES, *MORE_NOTICE
     A line is a notice if their canonical forms are equal. ``known`` is written into the
     plan, so it is a list of notices, not a table.
     """
-    out = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    out = replaced(out, [("\r\n", "\n"), ("\r", "\n")])
-    out = F.regexp_replace(out, COPYRIGHT_LINE, "\n")
+    out = F.regexp_replace(lowered(text), COPYRIGHT_LINE, "\n")
     # The canonical form of each line: as of a text, but line ends stay.
     out = replaced(F.regexp_replace(out, BETWEEN_WORDS_OF_LINE, " "), [(" \n", "\n"), ("\n ", "\n")])
     lines = F.split(replaced(F.trim(out), SPELLINGS), "\n", -1)

@@ -35,3 +35,22 @@ def test_canonical_form_without_spark(llm):
     texts = [t for _, t in [*known(), *licences.NOTICES, *licence_texts.MORE_NOTICES]] + ["", "é “a”\r\n© 2020 b\rCopyright (c) 2 x\n\u3000Ω"]
     frame = llm.createDataFrame([(t,) for t in texts], "text string").select("text", licences.canonical(F.col("text")).alias("form"))
     assert all(licences.canonical_of(r.text) == r.form for r in frame.collect())
+
+
+HOLDERS = [
+    "(C) Copyright 2020 X", "Copyright Joe Smith, 2020", "Copyright by X 2020", "Copyright The Foo Authors", "(c) Joe 2020",
+    "Copyright, 2020 X", "Copyright (c) 2020 X", "# COPYRIGHT: Foo Ltd", "© 2021 Y",
+]
+
+
+def test_holder_lines_of_any_order(llm):
+    rows = [(i, f"{holder}\r\n\r\n{t}\n{holder}") for i, t in known() for holder in HOLDERS]
+    assert scanned(llm, rows) == sorted((i, i) for i, _ in rows)
+
+
+def test_sentences_of_licences_are_no_holder_lines(llm):
+    mit = licences.LICENCES[-1][1]
+    changed = [mit.replace(" copyright notice and", "\ncopyright notices and"), mit.replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS OR\nCOPYRIGHT HOLDERS AND FRIENDS"), mit + "(c) You must retain all notices"]
+    assert scanned(llm, [("x", t) for t in changed]) == [("x", None)] * 3
+    rewrapped = " ".join(mit.split()).replace(" copyright", "\ncopyright").replace(" COPYRIGHT", "\nCOPYRIGHT")
+    assert scanned(llm, [("x", "Copyright Joe Smith, 2020\n" + rewrapped)]) == [("x", "MIT")]
