@@ -7,7 +7,7 @@ again as the next one's documents. All but the last return the documents' column
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, jaccard, langid, mixing
+from millrace.llm import bpe, langid, mixing, simhash
 from millrace.llm.common import prepare, staged
 from millrace.llm.queries import word_bpe
 
@@ -37,10 +37,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays.
 
-    They share 80 % or more of their different five-word shingles.
+    Their fingerprints of three-word shingles link at two or fewer differing bits.
     """
     prepare(spark)
-    return jaccard.one_of_each(docs, words=5, percent=80)
+    return simhash.one_of_each(docs, words=3)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
