@@ -14,7 +14,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from hashlib import sha256
-from math import ceil
+from math import ceil, isfinite
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,6 +26,8 @@ TURN, BODY, END = "<|turn|>", "<|body|>", "<|end|>\n"
 CONTROL = re.compile(r"\\|<(?=\||/?s>|</?SYS>>)|\[(?=/?INST\])")
 ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 PIECE = re.compile(r"<\|turn\|>(.*?)<\|body\|>(.*?)<\|end\|>\n", re.DOTALL)
+# A part or a message stands for no more tokens than this, whatever length it names.
+MOST_TOKENS = 2**62
 HOLDER = re.compile(r"<\|(image|audio|document|other):[0-9]+\|>")
 
 PART = "struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
@@ -66,11 +68,14 @@ class Flatten:
         self._add(escape(part["text"] or ""))
 
     def visit_image(self, part: dict) -> None:
-        tiles = ceil((part["width"] or 0) / self.tile) * ceil((part["height"] or 0) / self.tile)
+        across, down = (ceil(max(0, part[side] or 0) / self.tile) for side in ("width", "height"))
+        tiles = across * down
         self._attach("image", part, tiles * self.per_tile)
 
     def visit_audio(self, part: dict) -> None:
-        self._attach("audio", part, ceil((part["seconds"] or 0) * self.per_second))
+        # a length that is no finite number counts as unknown
+        seconds = part["seconds"] or 0
+        self._attach("audio", part, ceil(seconds * self.per_second) if isfinite(seconds) else 0)
 
     def visit_document(self, part: dict) -> None:
         self._attach("document", part, (part["pages"] or 0) * self.per_page)
@@ -81,7 +86,7 @@ class Flatten:
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
         number = len(self.attachments)
         self.attachments.append(
-            {"number": number, "type": kind, "ref": part["ref"], "tokens": max(0, tokens), "at": self.length}
+            {"number": number, "type": kind, "ref": part["ref"], "tokens": min(max(0, tokens), MOST_TOKENS), "at": self.length}
         )
         self._add(f"<|{kind}:{number}|>")
 
@@ -117,7 +122,8 @@ def format_turns(
     points; both are null for roles not in ``learn``. Each attachment has its number in
     the message, type, reference, expanded tokens and place in the body. Null or empty
     parts give an empty body, null parts in a list nothing, null roles an empty role,
-    types that are unknown a placeholder of no tokens. Repeated rows stay, in any number.
+    types that are unknown a placeholder of no tokens, as do sizes and lengths that are
+    null, negative or not finite. Repeated rows stay, in any number.
     """
     present = [f.name for f in turns.schema[parts].dataType.elementType.fields]
     kinds = dict(turns.dtypes)
@@ -131,7 +137,7 @@ def format_turns(
                     flat.visit(part)
                 head = f"{TURN}{escape(name or '')}{BODY}"
                 span = (len(head), len(head) + flat.length) if name in learn else (None, None)
-                tokens = sum(a["tokens"] for a in flat.attachments)
+                tokens = min(sum(a["tokens"] for a in flat.attachments), MOST_TOKENS)
                 rows.append((name or "", f"{head}{''.join(flat.body)}{END}", *span, flat.attachments, tokens))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(KINDS))],

@@ -38,6 +38,12 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
 
 
+def free_name(name: str, taken: Iterable[str]) -> str:
+    """A name for a column of our own that no given column has, in whatever case."""
+    used = {t.lower() for t in taken}
+    return next(n for n in (f"_{name}{i}" for i in range(len(used) + 1)) if n not in used)
+
+
 def replaced(text: Column, pairs: Iterable[tuple[str, str]]) -> Column:
     return reduce(lambda t, p: F.replace(t, F.lit(p[0]), F.lit(p[1])), pairs, text)
 

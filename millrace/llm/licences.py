@@ -11,7 +11,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import replaced, without
+from millrace.llm.common import free_name, replaced, without
 from millrace.llm.licence_texts import LICENCES, MORE_NOTICES, NOTICES, SPELLINGS, full_texts
 
 # Lines that name a holder, not a condition. Java's and RE2's syntax alike.
@@ -98,8 +98,7 @@ def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
 
     bare = without_holders(F.col(text))
     other = F.when(bare != lowered(F.col(text)), digest(bare))
-    names = {c.lower() for c in docs.columns}
-    other_digest, other_id = (next(n for n in (f"_{x}{i}" for i in range(len(names) + 1)) if n not in names) for x in ("bare", "other"))
+    other_digest, other_id = (free_name(x, docs.columns) for x in ("bare", "other"))
     rows = without(docs, ["digest", "license_id"])
     looked = rows.select(digest(F.col(text)).alias("digest"), "*", other.alias(other_digest))
     whole = by(canonical(F.col("text")), "digest", "license_id")

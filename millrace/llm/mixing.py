@@ -8,7 +8,7 @@ the fraction, decided by a hash of its id. Reruns give the same mix.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import staged, without, word_count
+from millrace.llm.common import free_name, staged, without, word_count
 
 WEIGHTS = (1, 2, 3)
 MOST_TIMES = 3
@@ -76,7 +76,7 @@ def mix(
     rows share one draw. Repeated rows are decided alike. A source without words has
     target and rate 0. Documents are not shuffled unless there are more than
     BROADCAST_SOURCES sources: then they join the rates by source, where Spark splits
-    large sources. Columns of these names are replaced.
+    large sources. Columns of these names are replaced; others can have any names.
     """
     rows = without(docs, OWN)
     sizes = rows.groupBy(F.col(source).alias("source")).agg(F.sum(word_count(F.col(text))).alias("source_size"))
@@ -84,15 +84,16 @@ def mix(
     rates = staged(targets(sizes, weights, most), "targets").withColumn(
         "rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     )
-    rates = rates.withColumnRenamed("source", "_of")
+    of = free_name("of", rows.columns)
+    rates = rates.withColumnRenamed("source", of)
     if rates.count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
     whole = F.floor("rate")
     extra = (chance(F.col(key), seed) < F.col("rate") - whole).cast("long")
     return (
         rows.withColumn("size", word_count(F.col(text)))
-        .join(rates, F.col(source).eqNullSafe(F.col("_of")))
-        .drop("_of")
+        .join(rates, F.col(source).eqNullSafe(F.col(of)))
+        .drop(of)
         .withColumn("copies", whole + extra)
     )
 
@@ -100,4 +101,5 @@ def mix(
 def repeated(mixed: DataFrame) -> DataFrame:
     """Each row as often as ``copies`` says, without the columns that mix() added."""
     each = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
-    return mixed.select("*", each.alias("_copy")).drop("_copy", *OWN)
+    copy = free_name("copy", mixed.columns)
+    return mixed.select("*", each.alias(copy)).drop(copy, *OWN)

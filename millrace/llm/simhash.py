@@ -226,15 +226,13 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
 
     It is the one with the smallest key, null last; of several rows with that key the
     one whose text has the smallest hash. Only keys and hashes are grouped; the texts
-    shuffle once, to meet the keys that stay.
+    shuffle once, to meet the keys that stay. Other columns can have any names.
     """
-    return first_of_each(docs, classes(docs, key, text, words), key, text)
+    first = classes(docs, key, text, words).groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "mark")).alias("first"))
+    kept = first.select(written(F.col("first.id")).alias("key"), F.col("first.mark").alias("mark"))
+    rows = docs.select(F.struct("*").alias("row"), written(F.col(key)).alias("key"), mark(text).alias("mark"))
+    return rows.join(kept, ["key", "mark"], "left_semi").dropDuplicates(["key", "mark"]).select("row.*")
 
 
-def first_of_each(docs: DataFrame, of: DataFrame, key: str, text: str) -> DataFrame:
-    """The first row of each root, for ``of`` with (id, mark, root) of each row of ``docs``."""
-    name = F.coalesce(F.col(key).cast("string"), F.lit("null:")).alias("_key")
-    first = of.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "mark")).alias("first"))
-    kept = first.select(F.coalesce(F.col("first.id").cast("string"), F.lit("null:")).alias("_key"), F.col("first.mark").alias("_mark"))
-    rows = docs.select("*", name, mark(text).alias("_mark"))
-    return rows.join(kept, ["_key", "_mark"], "left_semi").dropDuplicates(["_key", "_mark"]).select(docs.columns)
+def written(key: Column) -> Column:
+    return F.coalesce(key.cast("string"), F.lit("null:"))

@@ -61,6 +61,15 @@ def test_conversations_against_plain_python(llm):
     assert got == want
 
 
+def test_sizes_that_are_no_sizes(llm):
+    odd = [float("nan"), float("inf"), -float("inf"), -2.0, 1e300]
+    parts = [part("audio", seconds=s) for s in odd] + [part("image", width=-57, height=-28), part("document", pages=-1), part("image", width=10)]
+    frame = llm.createDataFrame([(1, 0, "user", parts)], f"conv_id long, turn long, role string, parts {PARTS}")
+    row = chat.format_turns(frame).first()
+    assert [a.tokens for a in row.attachments] == [0, 0, 0, 0, chat.MOST_TOKENS, 0, 0, 0]
+    assert row.expanded_tokens == chat.MOST_TOKENS
+
+
 def test_no_conversations(llm):
     frame = llm.createDataFrame([], f"conv_id long, turn long, role string, parts {PARTS}")
     assert chat.conversations(chat.format_turns(frame)).count() == 0

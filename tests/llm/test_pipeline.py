@@ -49,7 +49,7 @@ def test_run_is_the_brute_force_result(llm):
 def test_stages_keep_the_columns_and_odd_rows(llm):
     rows = [(1, None, "en", "a", 0), (2, "", None, None, None), (3, "12 34", "en", "a", 5), (None, "the and of that", None, None, 1)]
     rows += [(4, "the words of this text stay", "en", "b", 1)] * 3 + [(i, f"all different words {i * 7919} in {i} here", "en", "b", 2) for i in range(10, 30)]
-    docs = llm.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS score", "2 AS fp", "3 AS size", "4 AS block")
+    docs = llm.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS score", "2 AS fp", "3 AS size", "4 AS block", "5 AS _key", "6 AS _mark", "7 AS `row`", "8 AS key", "9 AS mark", "10 AS _of", "11 AS _copy", "12 AS root", "13 AS id")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(llm, docs, FOLDER)
         assert out.columns == docs.columns

@@ -74,6 +74,18 @@ def test_targets_and_copies(llm):
     assert mixing.mix(frame.limit(0)).count() == 0
 
 
+def test_names_of_the_operators_own_columns(llm):
+    own = ["_of", "_of0", "_copy", "_copy0", "OF", "weight", "level", "form", "_bare0", "_other0"]
+    frame = llm.createDataFrame([(i, "w w", f"s{i % 3}") for i in range(30)], "doc_id long, text string, source string")
+    clashing = frame.select("*", *[F.lit(i).alias(n) for i, n in enumerate(own)])
+    mixed = mixing.mix(clashing)
+    kept = [c for c in clashing.columns if c != "weight"]
+    assert mixed.select(kept).columns == kept
+    assert mixing.repeated(mixed).columns == kept
+    assert mixing.repeated(mixed).count() == mixing.repeated(mixing.mix(frame)).count()
+    assert set(licences.scan(clashing, licences.known_licences(llm)).columns) == {*clashing.columns, "digest", "license_id"}
+
+
 def test_many_sources_are_joined_not_broadcast(llm, monkeypatch):
     rows = [(i, "w w", f"s{i % 7}") for i in range(50)]
     frame = llm.createDataFrame(rows, "doc_id long, text string, source string")

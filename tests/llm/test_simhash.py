@@ -99,7 +99,7 @@ def test_components_of_a_long_chain(llm):
 
 def test_one_row_of_each_component_stays(llm):
     rows = [(3, "a b c d"), (2, "A b c d"), (2, "a B c d"), (2, "A b c d"), (9, "other words here"), (None, "nobody else"), (None, "nobody else"), (9, "quite different"), (5, None), (4, "")]
-    frame = llm.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS mark", "2 AS root", "3 AS fp")
+    frame = llm.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS mark", "2 AS root", "3 AS fp", "4 AS key", "5 AS _key", "6 AS _mark", "7 AS `row`", "8 AS first")
     got = simhash.one_of_each(frame, words=3)
     assert got.columns == frame.columns
     kept = sorted(((r.doc_id, (r.text or "").lower()) for r in got.collect()), key=repr)
