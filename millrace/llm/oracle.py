@@ -133,6 +133,69 @@ SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score FROM score
 WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5
 """
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT lang, piece, row_number() OVER () AS p FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  )
+), listed AS (
+  SELECT lang, p, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), words AS (
+  SELECT lang, p, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM listed
+), totals AS (
+  SELECT lang, count(*) AS n FROM words GROUP BY lang
+), runs AS (
+  SELECT lang, w AS w1, lead(w) OVER s AS w2, lead(w, 2) OVER s AS w3, lead(w, 3) OVER s AS w4 FROM words
+  WINDOW s AS (PARTITION BY lang, p ORDER BY i)
+), counts AS (
+  SELECT lang, [w1] AS words, count(*) AS f FROM runs GROUP BY ALL HAVING f >= 30
+  UNION ALL SELECT lang, [w1, w2], count(*) AS f FROM runs WHERE w2 IS NOT NULL GROUP BY ALL HAVING f >= 30
+  UNION ALL SELECT lang, [w1, w2, w3], count(*) AS f FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING f >= 30
+  UNION ALL SELECT lang, [w1, w2, w3, w4], count(*) AS f FROM runs WHERE w4 IS NOT NULL GROUP BY ALL HAVING f >= 30
+), cuts AS (
+  SELECT c.lang, c.words, c.f AS a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * c.f) // (l.f::HUGEINT + r.f::HUGEINT) AS score
+  FROM (SELECT *, unnest(range(1, len(words))) AS k FROM counts WHERE len(words) > 1) c
+  JOIN counts l ON l.lang = c.lang AND l.words = c.words[1:k]
+  JOIN counts r ON r.lang = c.lang AND r.words = c.words[k + 1:]
+), weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+), inner_parts AS (
+  SELECT lang, f, words[i:j] AS words FROM (
+    SELECT *, unnest(range(i + 1, len(words) + 1)) AS j FROM (SELECT *, unnest(range(1, len(words))) AS i FROM counts WHERE len(words) > 2)
+  ) WHERE j - i + 1 < len(words)
+), longer AS (
+  SELECT lang, words, max(f) AS f FROM inner_parts GROUP BY ALL
+)
+SELECT lang, (row_number() OVER best)::BIGINT AS rank, array_to_string(w.words, ' ') AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+       n::BIGINT AS n, score::BIGINT AS score
+FROM weakest w JOIN totals USING (lang) LEFT JOIN longer d USING (lang, words)
+WHERE d.f IS NULL OR 100::HUGEINT * d.f < 80::HUGEINT * a
+WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(w.words, ' ')) QUALIFY rank <= 2000
+"""
+
+HARD_NEGATIVES = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM whole a JOIN whole c ON a.vec_id % 100 = 0 AND c.vec_id IS DISTINCT FROM a.vec_id AND len(c.v) = len(a.v)
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5
+"""
+
 LLM_ORACLE = {
     "op1_licenses": LICENSES,
     "op2_chat": CHAT,
@@ -140,4 +203,6 @@ LLM_ORACLE = {
     "op7_warc": WARC,
     "op8_mixing": MIXING,
     "op10_topk": TOPK,
+    "op11_collocations": COLLOCATIONS,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }

@@ -5,7 +5,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, hnsw, langid, licences, mixing, sharding, simhash, topk, warc
+from millrace.llm import bpe, chat, hardneg, hnsw, langid, licences, mixing, phrases, pii, sharding, simhash, topk, warc
 from millrace.llm.common import prepare
 from millrace.session import shared_folder
 
@@ -93,6 +93,29 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(whole, whole.where("vec_id % 50 = 0"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents", "text", "lang"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    relabelled = rows.select("vec_id", F.col("embedding").alias("vector"), label.alias("label"))
+    return hardneg.mine(relabelled, relabelled.where("vec_id % 100 = 0"))
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    counts = [F.size(F.filter("base", lambda x, k=kind: x["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    base = pii.written(F.col("base"), "kind")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        F.concat_ws(",", *[F.nullif(x, F.lit("")) for x in (base, pii.written(F.col("added"), "action"))]).alias("spans"),
+    )
+
+
 LLM_QUERIES = {
     q.__name__: q
     for q in (
@@ -106,5 +129,8 @@ LLM_QUERIES = {
         op8_mixing,
         op9_neighbours,
         op10_topk,
+        op11_collocations,
+        op12_hard_negatives,
+        op13_pii,
     )
 }

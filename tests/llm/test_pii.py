@@ -1,0 +1,171 @@
+"""Personal data by plain regular expressions, disclosure by plain Python."""
+
+import random
+import re
+from collections import Counter
+from math import log2
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from millrace.llm import pii
+
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
+CARD = r"[0-9]([\x20-]?[0-9])+"
+PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(map(int, reversed(digits))):
+        d = d * 2 if i % 2 else d
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def plain_spans(text):
+    def digits(s):
+        return [c for c in s if c in "0123456789"]
+
+    tests = (
+        (EMAIL, lambda s: True),
+        (IP, lambda s: all(int(p) <= 255 for p in s.split("."))),
+        (CARD, lambda s: 16 <= len(digits(s)) <= 19 and luhn(digits(s))),
+        (PHONE, lambda s: 8 <= len(digits(s)) <= 15),
+    )
+    return [(k, *m.span()) for k, (p, ok) in enumerate(tests) for m in re.finditer(p, text) if ok(m[0])]
+
+
+pieces = st.sampled_from(
+    ["a", "b.c", "@", ".", "-", "+", " ", "x@y.z", "1.2.3.4", "255", "256", "0", "4111 1111 1111 1111", "4111-1111", "+49 (30) 1234567", "12", "é", "٣", "\n", "(", ")", "00000000255", "%", "_"]
+)
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(pieces, max_size=25).map("".join))
+def test_base_spans_are_those_of_the_patterns(text):
+    assert pii.base_spans(text) == plain_spans(text)
+
+
+@settings(max_examples=800, deadline=None)
+@given(st.text("0123456789 -.+@a()", max_size=60))
+def test_base_spans_of_random_text(text):
+    assert pii.base_spans(text) == plain_spans(text)
+
+
+def test_long_runs_take_no_longer_than_their_length():
+    n = 200_000
+    for text in ("a" * n, "1" * n, "a@" * n, "1." * n, "@a." * n, "1 " * n, "+1 " * n, "+1" + " " * n, "a" * n + "@b", "@" * n, "a@" + "b" * n):
+        pii.base_spans(text)
+    assert pii.base_spans("x" * n + "@example.org") == [(0, 0, n + 12)]
+
+
+def value_of(kind, text):
+    if kind == 0:
+        return kind, text.lower()
+    if kind == 1:
+        return kind, ".".join(str(int(p)) for p in text.split("."))
+    return kind, re.sub("[^0-9]", "", text)
+
+
+def entity_values(text, spans):
+    return [value_of(kind, text[start:end]) for kind, start, end in spans]
+
+
+def near_terms(text, spans, reach):
+    """(entity, term) -> places, by words that no span touches."""
+    words = [m.span() for m in re.finditer(r"\w+", text) if not any(m.start() < e and s < m.end() for _, s, e in spans)]
+    out = {}
+    for kind, start, end in spans:
+        before = [w for w in words if w[1] <= start][-reach:]
+        after = [w for w in words if w[0] >= end][:reach]
+        for w in before + after:
+            out.setdefault((value_of(kind, text[start:end]), text[slice(*w)].lower()), set()).add(w)
+    return out
+
+
+def brute(rows, reach, support, share):
+    documents = len(rows)
+    found = [plain_spans(t or "") for _, t in rows]
+    near = [near_terms(t or "", s, reach) for (_, t), s in zip(rows, found, strict=True)]
+    n_c, n_t, n_ct, n_cg, n_g = (Counter() for _ in range(5))
+    for (_, t), s, of in zip(rows, found, near, strict=True):
+        own = {w.lower() for w in re.findall(r"\w+", t or "")}
+        n_t.update(own)
+        n_g.update({pii.wider(w) for w in own})
+        n_ct.update(of.keys())
+        n_cg.update({(c, pii.wider(w)) for c, w in of})
+        n_c.update(set(entity_values(t or "", s)))
+
+    def reveals(both, c, own):
+        return log2(both * documents / (n_c[c] * own)) >= share * log2(documents / n_c[c]) - 1e-9
+
+    out = []
+    for (key, t), s, of in zip(rows, found, near, strict=True):
+        places = {}
+        for (c, w), at in of.items():
+            if n_ct[c, w] >= support and n_c[c] < documents and reveals(n_ct[c, w], c, n_t[w]):
+                wide = reveals(n_cg[c, pii.wider(w)], c, n_g[pii.wider(w)])
+                for p in at:
+                    places[p] = max(places.get(p, ""), "remove" if wide else "generalise")
+        base = [f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in s]
+        added = [f"{action}:{a}:{b}" for action, (a, b) in sorted((action, p) for p, action in places.items())]
+        out.append((key, ",".join(base), ",".join(added)))
+    return sorted(out, key=repr)
+
+
+def corpus(rng):
+    common = ["the", "of", "and", "house", "İstanbul", "ΣΑΣ", "report", "2024", "x"] * 3 + [f"w{i}" for i in range(30)]
+    people = ["joe@x.org", "Ann.Lee@corp.example", "10.0.0.1", "010.0.0.01", "4111 1111 1111 1111", "+49 30 1234567", "+49-30-1234567"]
+    clue = {"joe@x.org": ["Springfield", "plumber"], "10.0.0.1": ["gateway7", "rack"], "+49 30 1234567": ["Springer", "4711"]}
+    rows = []
+    for i in range(120):
+        words = [rng.choice(common) for _ in range(rng.randrange(0, 40))]
+        if i % 2:
+            who = rng.choice(people)
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = [*(clue.get(who, []) if rng.random() < 0.8 else []), who]
+        rows.append((i, " ".join(words)))
+    rows += [(5, "joe@x.org again, JOE@X.ORG Springfield"), (5, "joe@x.org again, JOE@X.ORG Springfield"), (None, "Springfield joe@x.org"), (None, None), (7, ""), (8, None)]
+    return rows
+
+
+def found(llm, rows, **how):
+    docs = llm.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS id", "2 AS mark", "3 AS base", "4 AS near", "5 AS added")
+    out = pii.spans(docs, **how).select("id", pii.written(pii.F.col("base"), "kind"), pii.written(pii.F.col("added"), "action"))
+    return sorted(map(tuple, out.collect()), key=repr)
+
+
+def test_disclosing_terms_are_those_of_plain_python(llm):
+    for seed, how in ((1, (8, 3, 2 / 3)), (2, (2, 1, 1.0)), (3, (100, 2, 0.3))):
+        rows = corpus(random.Random(seed))
+        want = brute(rows, *how)
+        assert any("generalise" in r[2] for r in want) and any("remove" in r[2] for r in want) or seed != 3
+        assert found(llm, rows, reach=how[0], support=how[1], share=how[2]) == want
+
+
+def test_counts_are_handed_on_in_parts(llm, monkeypatch):
+    rows = corpus(random.Random(4))
+    want = found(llm, rows)
+    monkeypatch.setattr(pii, "HELD_TERMS", 5)
+    assert found(llm, rows) == want
+
+
+def test_clean_documents_stay_and_clues_go(llm):
+    rows = [(i, f"nothing to hide in text {i} about Springfield") for i in range(4)]
+    rows += [(10 + i, f"call Moriarty7 of the house, joe{i % 2}@x.org, today") for i in range(8)]
+    rows += [(30 + i, f"call of the house today {i}") for i in range(20)]
+    docs = llm.createDataFrame([(i, t, t) for i, t in rows] + [(99, None, "x")], "doc_id long, text string, `row` string").selectExpr("*", "1 AS key", "2 AS own", "3 AS places")
+    out = pii.sanitise(docs)
+    assert out.columns == [*docs.columns, "sanitised"]
+    got = {r.doc_id: r.sanitised for r in out.collect()}
+    assert [got[i] for i in range(4)] == [t for _, t in rows[:4]]
+    assert got[99] is None
+    for i in range(8):
+        assert "@" not in got[10 + i] and "Moriarty7" not in got[10 + i] and "[EMAIL]" in got[10 + i]
+
+
+def test_no_documents(llm):
+    docs = llm.createDataFrame([], "doc_id long, text string")
+    assert pii.spans(docs).count() == pii.sanitise(docs).count() == 0
