@@ -106,11 +106,14 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.spans(_table(spark, sf_dir, "documents", "doc_id", "text"))
-    counts = [F.size(F.filter("base", lambda x, k=kind: x["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+
+    def of(kind: str):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = pii.written(F.col("base"), "kind")
     return found.select(
         F.col("id").alias("doc_id"),
-        *counts,
+        *map(of, pii.KINDS),
         F.sha2(base.cast("binary"), 256).alias("base_sha256"),
         F.concat_ws(",", *[F.nullif(x, F.lit("")) for x in (base, pii.written(F.col("added"), "action"))]).alias("spans"),
     )
