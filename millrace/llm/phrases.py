@@ -6,16 +6,20 @@ when it grows. When a task holds too much, it spills its largest subtrees, whole
 each in the order of its phrases. Such sorted runs are dealt by their prefix, and each
 prefix partition merges its own.
 
-Phrases are counted length by length. A phrase can only be frequent if both parts of
-it that are a word shorter are, so each pass counts what a Bloom filter of the frequent
-shorter phrases lets through. Its size is bounded; what it lets through in error is
-counted like the rest, and its count tells.
+Words are counted first, then pairs of frequent words, then all longer phrases whose
+neighbouring words are frequent pairs: others can't be frequent. Bloom filters tell which
+words and pairs are. Their size is bounded; what they let through in error is counted
+like the rest, and its count tells.
 """
 
-from collections.abc import Iterable, Iterator
+from collections import Counter
+from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,11 +37,11 @@ STOP = b"."
 PLAIN = bytes.maketrans(PIECE_ENDS + WORD_ENDS, STOP * len(PIECE_ENDS) + b" " * len(WORD_ENDS))
 
 # Characters of texts that are cut into words together, and words counted together.
-BLOCK_CHARS, SLICE_WORDS = 1 << 21, 1 << 19
+BLOCK_CHARS, SLICE_WORDS = 1 << 23, 1 << 19
 # Phrases that a task holds, of which a spill leaves half, and words with a number.
 HELD, NUMBERED = 1_000_000, 1 << 20
-# Entries of a container before it bursts.
-BURST = 4_096
+# Entries of a container before it bursts; so few are added one by one.
+BURST, FEW = 4_096, 8
 # Bits for a word's number: three words fit in a whole number of 64 bits.
 BITS = 21
 # The most bits of a filter (32 MB); 16 for each phrase are enough.
@@ -49,8 +53,12 @@ ALL = (1 << 64) - 1
 # --- the filter ---
 
 
-def word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(lang.encode() + b"\n" + word)
+def seed_of(lang: str) -> int:
+    return xxhash.xxh3_64_intdigest(lang.encode())
+
+
+def word_hash(word: bytes, seed: int) -> int:
+    return xxhash.xxh3_64_intdigest(word, seed)
 
 
 def mixed(h, word):
@@ -64,9 +72,9 @@ def mixed(h, word):
 
 def phrase_hash(lang: str, phrase: str) -> int:
     """As a signed long."""
-    h = 0
+    h, seed = 0, seed_of(lang)
     for word in phrase.encode().split(b" "):
-        h = mixed(h, word_hash(lang, word))
+        h = mixed(h, word_hash(word, seed))
     return h - (1 << 64) if h >> 63 else h
 
 
@@ -84,11 +92,6 @@ class Filter:
             found &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
         return found
 
-    def has_one(self, h: int) -> bool:
-        first, step = h >> 32, h & 0xFFFFFFFF | 1
-        places = ((first + i * step) & self.mask for i in range(PROBES))
-        return all(int(self.words[at >> 6]) >> (at & 63) & 1 for at in places)
-
 
 def filter_of(frequent: DataFrame) -> Filter:
     """Of the hashes ``h``. Spark ORs the bits; a row for each 64 of them comes to the driver."""
@@ -111,172 +114,219 @@ def filter_of(frequent: DataFrame) -> Filter:
 class Numbers(dict):
     """A language's words and their numbers; -1 for those that no frequent phrase has."""
 
-    def __init__(self, lang: str, frequent: Filter | None):
+    def __init__(self, lang: str, frequent: Filter):
         super().__init__({STOP: -1})
-        self.lang, self.frequent = lang, frequent
+        self.seed, self.frequent = seed_of(lang), frequent
         self.words: list[bytes] = []
-        self.hashes: list[int] = []
+        self.hashes = np.zeros(0, np.uint64)
 
-    def __missing__(self, word: bytes) -> int:
-        h = word_hash(self.lang, word)
-        number = -1
-        if self.frequent is None or self.frequent.has_one(mixed(0, h)):
-            number = len(self.words)
-            self.words.append(word)
-            self.hashes.append(h)
-        self[word] = number
-        return number
+    def learn(self, words: list[bytes]) -> int:
+        """Numbers the words that are new; returns how many those are."""
+        new = [w for w in words if w not in self]
+        h = np.fromiter((word_hash(w, self.seed) for w in new), np.uint64, len(new))
+        kept = self.frequent.has(mixed(np.zeros(len(h), np.uint64), h))
+        numbers = np.where(kept, len(self.words) + np.cumsum(kept) - 1, -1)
+        self.update(zip(new, numbers.tolist(), strict=True))
+        self.words += [w for w, k in zip(new, kept.tolist(), strict=True) if k]
+        self.hashes = np.concatenate([self.hashes, h[kept]])
+        return len(new)
 
 
 class Trie:
     """Counts of phrases of ``size`` words in one language.
 
-    ``first`` has a container for each first word: a dict from the other words, packed
-    into one number, to the count; or, once burst, a list of one dict that has such a
-    container for each second word.
+    ``first`` has a hash container for each first word: a Counter of the other words,
+    packed into one number; or, once burst, a dict of one for each second word.
     """
 
     def __init__(self, size: int, numbers: Numbers):
         self.size, self.numbers = size, numbers
-        self.first: dict[int, dict | list] = {}
+        self.first: dict[int, Counter | dict[int, Counter]] = {}
         self.held: dict[int, int] = {}
         # places of the second word in what a container packs, and of the rest
-        self.shift = BITS * max(0, size - 2)
+        self.shift = BITS * (size - 2)
         self.rest = (1 << self.shift) - 1
 
-    def add(self, first: np.ndarray, others: np.ndarray, counts: np.ndarray) -> int:
-        """Adds phrases in order, each once; returns how many are new."""
-        cuts = [*np.r_[True, first[1:] != first[:-1]].nonzero()[0].tolist(), len(first)]
-        of, packed, n = first.tolist(), others.tolist(), counts.tolist()
-        new = 0
-        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-            word = of[i]
+    def add(self, first: np.ndarray, others: np.ndarray) -> int:
+        """Counts phrases in the order of their first word; returns how many are new."""
+        cuts = [*(first[1:] != first[:-1]).nonzero()[0] + 1, len(first)]
+        of, packed = first[[0, *cuts[:-1]]].tolist(), others.tolist()
+        new = i = 0
+        for word, j in zip(of, cuts, strict=True):
+            container = self.first.get(word)
+            if container is None:
+                container = self.first[word] = Counter()
             before = self.held.get(word, 0)
-            container = self.first.setdefault(word, {})
-            if isinstance(container, list):
-                added = self._below(container[0], packed[i:j], n[i:j])
-                self.held[word] = before + added
+            if type(container) is dict:
+                added = self._below(container, packed[i:j])
             else:
-                for p, c in zip(packed[i:j], n[i:j], strict=True):
-                    container[p] = container.get(p, 0) + c
-                self.held[word] = len(container)
+                if j - i < FEW:
+                    for p in packed[i:j]:
+                        container[p] += 1
+                else:
+                    container.update(packed[i:j])
+                added = len(container) - before
                 if len(container) > BURST and self.size > 2:
-                    burst: dict[int, dict[int, int]] = {}
-                    self._below(burst, container.keys(), container.values())
-                    self.first[word] = [burst]
-            new += self.held[word] - before
+                    self.first[word] = self._burst(container)
+            self.held[word] = before + added
+            new += added
+            i = j
         return new
 
-    def _below(self, seconds: dict, packed: Iterable[int], n: Iterable[int]) -> int:
+    def _below(self, seconds: dict[int, Counter], packed: list[int]) -> int:
         new = 0
-        for p, c in zip(packed, n, strict=True):
-            container = seconds.setdefault(p >> self.shift, {})
+        for p in packed:
+            container = seconds.get(p >> self.shift)
+            if container is None:
+                container = seconds[p >> self.shift] = Counter()
             p &= self.rest
-            if p not in container:
-                container[p] = c
-                new += 1
-            else:
-                container[p] += c
+            new += p not in container
+            container[p] += 1
         return new
 
-    def take(self, word: int) -> list[tuple[bytes, int]]:
-        """Removes a first word's subtree and gives its phrases in order."""
-        container, words, mask = self.first.pop(word), self.numbers.words, (1 << BITS) - 1
-        del self.held[word]
-        if isinstance(container, list):
-            flat = ((second << self.shift | p, c) for second, below in container[0].items() for p, c in below.items())
-        else:
-            flat = container.items()
-        places = range(BITS * (self.size - 2), -1, -BITS)
-        return sorted((b" ".join([words[word], *(words[p >> s & mask] for s in places)]), c) for p, c in flat)
-
-
-class Counter:
-    """What a task counts: a trie for each language, and runs when they hold too much."""
-
-    def __init__(self, size: int, words: Filter | None, shorter: Filter | None):
-        self.size, self.words, self.shorter = size, words, shorter
-        self.tries: dict[str, Trie] = {}
+    def _burst(self, container: Counter) -> dict[int, Counter]:
+        seconds: dict[int, Counter] = {}
+        for p, n in container.items():
+            seconds.setdefault(p >> self.shift, Counter())[p & self.rest] = n
+        return seconds
+
+    def take(self, subtrees: list[int]) -> tuple[pa.Array, pa.Array]:
+        """Removes the subtrees of some first words: their phrases, in order, and counts."""
+        firsts, seconds, containers = [], [], []
+        for word in subtrees:
+            container = self.first.pop(word)
+            del self.held[word]
+            below = container if type(container) is dict else {0: container}
+            firsts += [word] * len(below)
+            seconds += below.keys()
+            containers += below.values()
+        sizes = list(map(len, containers))
+        first, second = np.repeat(firsts, sizes), np.repeat(seconds, sizes)
+        packed = np.fromiter(chain.from_iterable(containers), np.int64, len(first)) | second << self.shift
+        counts = np.fromiter(chain.from_iterable(c.values() for c in containers), np.int64, len(first))
+        texts = pa.array(self.numbers.words, pa.binary()).cast(pa.string())
+        rank = np.empty(len(texts), np.int64)
+        rank[pc.sort_indices(texts).to_numpy()] = np.arange(len(texts))
+        mask = (1 << BITS) - 1
+        columns = [first, *(packed >> s & mask for s in range(self.shift, -1, -BITS))]
+        order = np.lexsort([rank[c] for c in reversed(columns)])
+        phrases = pc.binary_join_element_wise(*(texts.take(pa.array(c[order])) for c in columns), " ")
+        return phrases, pa.array(counts[order])
+
+
+def tokens_of(texts: list[str]) -> tuple[np.ndarray, list[bytes]]:
+    """The words of texts, and stops between pieces: places in a list of different ones."""
+    plain = STOP.join([t.encode() for t in texts]).lower().translate(PLAIN).replace(STOP, b" . ")
+    data = np.frombuffer(plain, np.uint8)
+    letter = data != 32
+    edge = np.diff(letter, prepend=False, append=False).nonzero()[0]
+    offsets = np.r_[0, np.cumsum(edge[1::2] - edge[::2])]
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[letter])]
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, buffers).dictionary_encode()
+    return words.indices.to_numpy(), words.dictionary.to_pylist()
+
+
+class Counted:
+    """What a task counts: words in one container for each language, or phrases in a
+    trie for each language and length; and runs when they hold too much."""
+
+    def __init__(self, sizes: list[int], words: Filter | None, pairs: Filter | None):
+        self.sizes, self.words, self.pairs = sizes, words, pairs
+        self.single: dict[str, Counter] = {}
+        self.numbers: dict[str, Numbers] = {}
+        self.tries: dict[tuple[str, int], Trie] = {}
         self.held = self.numbered = 0
 
     def add(self, lang: str, texts: list[str]) -> Iterator[pa.RecordBatch]:
-        plain = STOP.join([t.encode() for t in texts]).lower().translate(PLAIN)
-        tokens = plain.replace(STOP, b" . ").split()
-        if self.size == 1:
-            yield run(lang, [(b"", len(tokens) - tokens.count(STOP))])
-        for start in range(0, len(tokens), SLICE_WORDS):
+        places, words = tokens_of(texts)
+        if self.sizes == [1]:
+            yield from self._words(lang, places, words)
+            return
+        longest = max(self.sizes)
+        for start in range(0, len(places), SLICE_WORDS):
             if self.numbered > NUMBERED:
                 yield from self.spilled(0)
                 self.tries.clear()
+                self.numbers.clear()
                 self.numbered = 0
-            trie = self.tries.get(lang) or self.tries.setdefault(lang, Trie(self.size, Numbers(lang, self.words)))
-            part = tokens[start : start + SLICE_WORDS + self.size - 1]
-            known = len(trie.numbers)
-            codes = np.fromiter(map(trie.numbers.__getitem__, part), np.int64, len(part))
-            self.numbered += len(trie.numbers) - known
-            grams = grouped(codes, self.places(codes, trie.numbers), self.size)
-            if len(grams[0]):
-                self.held += trie.add(*grams)
+            if lang not in self.numbers:
+                self.numbers[lang] = Numbers(lang, self.words)
+                self.tries.update({(lang, size): Trie(size, self.numbers[lang]) for size in self.sizes})
+            numbers = self.numbers[lang]
+            part = places[start : start + SLICE_WORDS + longest - 1]
+            used = np.bincount(part, minlength=len(words)).nonzero()[0]
+            own = [words[i] for i in used.tolist()]
+            self.numbered += numbers.learn(own)
+            code = np.full(len(words), -1)
+            code[used] = np.fromiter(map(numbers.__getitem__, own), np.int64, len(own))
+            codes = code[part]
+            for size, at in self.places(codes, numbers, min(SLICE_WORDS, len(places) - start)):
+                if len(at):
+                    # in the order of first words; what follows them is packed
+                    at = at[np.argsort(codes[at], kind="stable")]
+                    others = np.zeros(len(at), np.int64)
+                    for i in range(1, size):
+                        others = others << BITS | codes[at + i]
+                    self.held += self.tries[lang, size].add(codes[at], others)
             if self.held > HELD:
                 yield from self.spilled(HELD // 2)
 
-    def places(self, codes: np.ndarray, numbers: Numbers) -> np.ndarray:
-        """Where phrases begin that have no stop and may be frequent."""
-        n = max(0, len(codes) - self.size + 1)
-        whole = np.ones(n, bool)
-        for i in range(self.size):
-            whole &= codes[i : i + n] >= 0
-        at = whole.nonzero()[0]
-        if self.shorter is None:
-            return at
-        hashes = np.array(numbers.hashes, np.uint64)
-        for begin in (0, 1):
-            h = np.zeros(len(at), np.uint64)
-            for i in range(begin, begin + self.size - 1):
-                h = mixed(h, hashes[codes[at + i]])
-            at = at[self.shorter.has(h)]
-        return at
+    def _words(self, lang: str, places: np.ndarray, words: list[bytes]) -> Iterator[pa.RecordBatch]:
+        counts = self.single.setdefault(lang, Counter())
+        self.held -= len(counts)
+        counts.update(dict(zip(words, np.bincount(places, minlength=len(words)).tolist(), strict=True)))
+        # the empty phrase stands for all words
+        counts[b""] += len(places) - counts.pop(STOP, 0)
+        self.held += len(counts)
+        if self.held > HELD:
+            yield from self.spilled(0)
+
+    def places(self, codes: np.ndarray, numbers: Numbers, begins: int) -> Iterator[tuple[int, np.ndarray]]:
+        """For each size where phrases begin, before ``begins``, that have no stop and may
+        be frequent: all their pairs of neighbours may be."""
+        near = (codes[:-1] >= 0) & (codes[1:] >= 0)
+        if self.pairs is not None:
+            at = near.nonzero()[0]
+            h = mixed(mixed(np.zeros(len(at), np.uint64), numbers.hashes[codes[at]]), numbers.hashes[codes[at + 1]])
+            near[at] = self.pairs.has(h)
+        for size in self.sizes:
+            n = max(0, len(codes) - size + 1)
+            whole = np.ones(n, bool)
+            for i in range(size - 1):
+                whole &= near[i : i + n]
+            yield size, whole[:begins].nonzero()[0]
 
     def spilled(self, leave: int) -> Iterator[pa.RecordBatch]:
-        """The largest subtrees as sorted runs, until so many phrases are left."""
-        sizes = sorted(((n, lang, word) for lang, t in self.tries.items() for word, n in t.held.items()), reverse=True)
-        rows: dict[str, list] = {}
-        for n, lang, word in sizes:
+        """Sorted runs: all words, or the largest subtrees until so many phrases are left."""
+        for lang, counts in self.single.items():
+            words = pa.array(counts.keys(), pa.binary()).cast(pa.string())
+            order = pc.sort_indices(words)
+            yield run(lang, words.take(order), pa.array(counts.values(), pa.int64()).take(order))
+        if self.single:
+            self.single.clear()
+            self.held = 0
+        sizes = sorted(((n, trie, word) for trie, t in self.tries.items() for word, n in t.held.items()), reverse=True)
+        taken: dict[tuple[str, int], list[int]] = {}
+        for n, trie, word in sizes:
             if self.held <= leave:
                 break
             self.held -= n
-            rows.setdefault(lang, []).extend(self.tries[lang].take(word))
-            if len(rows[lang]) > 50_000:
-                yield run(lang, rows.pop(lang))
-        for lang, of in rows.items():
-            yield run(lang, of)
-
-
-def grouped(codes: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, the others packed, count) of the phrases that begin at these places, in order."""
-    first, others = codes[at], np.zeros(len(at), np.int64)
-    for i in range(1, size):
-        others = others << BITS | codes[at + i]
-    order = np.lexsort((others, first)) if size > 1 else np.argsort(first, kind="stable")
-    first, others = first[order], others[order]
-    new = np.r_[True, (first[1:] != first[:-1]) | (others[1:] != others[:-1])].nonzero()[0] if len(at) else at
-    return first[new], others[new], np.diff(np.r_[new, len(at)])
-
-
-def run(lang: str, rows: list[tuple[bytes, int]]) -> pa.RecordBatch:
-    phrases = pa.array([p for p, _ in rows], pa.binary()).cast(pa.string())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(rows), pa.string()), phrases, pa.array([n for _, n in rows], pa.int64())], ["lang", "phrase", "n"]
-    )
+            taken.setdefault(trie, []).append(word)
+        for trie, subtrees in taken.items():
+            yield run(trie[0], *self.tries[trie].take(subtrees))
 
 
-def runs(docs: DataFrame, size: int, words: Filter | None, shorter: Filter | None) -> DataFrame:
+def run(lang: str, phrases: pa.Array, counts: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), phrases, counts], ["lang", "phrase", "n"])
+
+
+def runs(docs: DataFrame, sizes: list[int], words: Filter | None = None, pairs: Filter | None = None) -> DataFrame:
     """(lang, phrase, n) of all tasks; the empty phrase counts words, in the pass for words."""
     spark = docs.sparkSession
-    given = spark.sparkContext.broadcast((words, shorter))
+    given = spark.sparkContext.broadcast((words, pairs))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(size, *given.value)
+        counter = Counted(sizes, *given.value)
         texts: dict[str, list[str]] = {}
         chars = 0
         for batch in batches:
@@ -299,51 +349,42 @@ def runs(docs: DataFrame, size: int, words: Filter | None, shorter: Filter | Non
 def merged(parts: DataFrame, least: int) -> DataFrame:
     """(lang, phrase, n, h) of the phrases that come ``least`` times, and of the empty one.
 
-    A prefix of up to three words names a partition: at most all words can follow one.
-    Spark's sort merges the runs of a partition, and equal neighbours are added up.
+    A prefix of up to three words names the partition in which runs are added up: at
+    most all words can follow one, so that no prefix is too large for a task.
     """
+    prefix = F.substring_index("phrase", " ", 3)
+    placed = parts.repartition(F.col("lang"), prefix)
+    # grouped where it lies: the partitioning is by part of these columns
+    summed = placed.groupBy("lang", prefix.alias("prefix"), "phrase").agg(F.sum("n").alias("n"))
+    summed = summed.where((F.col("n") >= least) | (F.col("phrase") == ""))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, total = None, 0
         for batch in batches:
-            out = []
-            for lang, phrase, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (lang, phrase) != now:
-                    if now and (total >= least or not now[1]):
-                        out.append((*now, total))
-                    now, total = (lang, phrase), 0
-                total += n
-            yield table(out)
-        if now and (total >= least or not now[1]):
-            yield table([(*now, total)])
-
-    def table(rows: list[tuple]) -> pa.RecordBatch:
-        hashed = [(*r, phrase_hash(r[0], r[1])) for r in rows]
-        kinds = [("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64()), ("h", pa.int64())]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in hashed], t) for i, (_, t) in enumerate(kinds)], [n for n, _ in kinds])
-
-    placed = parts.repartition(F.col("lang"), F.substring_index("phrase", " ", 3)).sortWithinPartitions("lang", "phrase")
-    return placed.mapInArrow(each, "lang string, phrase string, n long, h long")
+            h = [phrase_hash(lang, phrase) for lang, phrase in zip(*(c.to_pylist() for c in batch.columns[:2]), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(h, pa.int64())], ["lang", "phrase", "n", "h"])
+
+    return summed.select("lang", "phrase", "n").mapInArrow(each, "lang string, phrase string, n long, h long")
 
 
 def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = LEAST_COUNT, longest: int = MOST_WORDS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, size, n) of all frequent phrases, and (lang, n) of all words.
 
-    Each length is a pass over the texts, and its table is written.
+    Three passes over the texts, each with a table: words, pairs of frequent words, and
+    all that is longer and of frequent pairs.
     """
     rows = docs.select(F.coalesce(F.col(lang), F.lit(NO_LANGUAGE)).alias("lang"), F.col(text).alias("text"))
-    out, totals, words, shorter = None, None, None, None
-    for size in range(1, longest + 1):
-        found = staged(merged(runs(rows, size, words, shorter), least), f"phrases{size}")
-        if size == 1:
-            totals = found.where("phrase = ''").select("lang", "n")
-            found = found.where("phrase <> ''")
-            words = filter_of(found)
-        else:
-            shorter = filter_of(found) if size < longest else None
-        sized = found.select("lang", "phrase", F.lit(size).alias("size"), "n")
-        out = sized if out is None else out.unionByName(sized)
-    return out, totals
+    counted = staged(merged(runs(rows, [1]), least), "words")
+    words = counted.where("phrase <> ''")
+    tables = [words]
+    of_words = filter_of(words)
+    if longest > 1:
+        tables.append(staged(merged(runs(rows, [2], of_words), least), "pairs"))
+    if longest > 2:
+        longer = runs(rows, list(range(3, longest + 1)), of_words, filter_of(tables[1]))
+        tables.append(staged(merged(longer, least), "longer"))
+    size = F.size(F.split("phrase", " "))
+    all_of = reduce(DataFrame.unionByName, (t.select("lang", "phrase", size.alias("size"), "n") for t in tables))
+    return all_of, counted.where("phrase = ''").select("lang", "n")
 
 
 # --- scores ---
