@@ -60,13 +60,19 @@ def _mark(value: Column) -> Column:
     return F.xxhash64(value).cast("string")
 
 
-def member_text(value: Column, name: str, otherwise: Column) -> Column:
-    """A member of a JSON object as text, with all digits of its numbers.
+def with_variant(df: DataFrame, value: str = "value", into: str = "_variant") -> DataFrame:
+    """Add ``into``: a variant whose first element is the text's object, or null where the
+    text is not one JSON object and nothing else, or an object in it has a repeated key.
 
-    Up to 38 digits stay as they are, zeros at the end of a fraction aside; keys may
-    change places. ``otherwise`` stands in for texts of which a key is repeated.
+    A variant keeps all digits of numbers, up to 38; zeros at the end of a fraction may
+    go and keys change places. The text is framed, and its parse the input of
+    ``explode``, as in ``with_json``.
     """
-    return F.coalesce(F.try_variant_get(F.try_parse_json(value), f"$.{name}", "string"), otherwise)
+    text = F.col(value)
+    framed = F.concat(F.lit("["), text, F.lit(',"'), _mark(text), F.lit('"]'))
+    parsed = df.withColumn(into, F.explode(F.array(F.when(text.rlike(r"\A\s*\{"), F.try_parse_json(framed)))))
+    whole = F.try_variant_get(into, "$[1]", "string") == _mark(text)
+    return parsed.withColumn(into, F.when(whole, F.col(into)))
 
 
 def with_json(df: DataFrame, schema: StructType, value: str = "value", into: str = "j") -> DataFrame:

@@ -1,19 +1,23 @@
 """Run one of the four jobs: ``python -m millrace.main JOB --root FOLDER``.
 
 Reads from Kafka with ``--servers``, else from the message folders of the root.
+``close_days`` folds the batches of past days of both wide tables, beside the running
+jobs; with ``--tidy`` it also removes what is folded in.
 """
 
 import argparse
 import json
 import logging
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.operators.log_split import PAGE_TOPIC
 from millrace.session import tune
-from millrace.sinks.current import BUCKETS
+from millrace.sinks.current import buckets_for
 from millrace.sources.streams import kafka_stream, message_stream
 from millrace.streaming import jobs
+from millrace.streaming.positions import StoredPositions, stored_positions
 from millrace.streaming.progress import end_positions, rates
 
 # The topics each job reads.
@@ -23,6 +27,8 @@ HEADER_TOPIC = "DWD_ORDER_INFO_I"
 LINE_TOPIC = "DWD_ORDER_DETAIL_I"
 
 JOBS = ("split_logs", "split_changes", "daily_actives", "widen_orders")
+CLOSE = "close_days"
+STORED = "stored"
 
 
 def start(
@@ -33,8 +39,12 @@ def start(
     trigger,
     positions: dict | None = None,
     on_delete: str = "keep",
+    **how,
 ) -> list:
-    """Starts a job's queries. ``positions`` maps topic to partition to first offset."""
+    """Starts a job's queries. ``positions`` maps topic to partition to first offset.
+
+    ``how`` goes to the two jobs of wide tables.
+    """
 
     def read(topic: str, folder: str) -> DataFrame:
         if servers:
@@ -47,9 +57,23 @@ def start(
     if job == "split_changes":
         return jobs.split_changes(read(CHANGE_TOPIC, f"{at.root}/raw_db"), at, trigger, servers)
     if job == "daily_actives":
-        return jobs.daily_actives(read(PAGE_TOPIC, at.log_routes), at, on_delete=on_delete, trigger=trigger)
+        return jobs.daily_actives(read(PAGE_TOPIC, at.log_routes), at, on_delete=on_delete, trigger=trigger, **how)
     headers, lines = read(HEADER_TOPIC, at.routes), read(LINE_TOPIC, at.routes)
-    return jobs.widen_orders(headers, lines, at, on_delete=on_delete, trigger=trigger)
+    return jobs.widen_orders(headers, lines, at, on_delete=on_delete, trigger=trigger, **how)
+
+
+def close_days(spark: SparkSession, at: jobs.Warehouse, before: str, tidy: bool = False) -> None:
+    for table in (at.dau_days, at.order_days):
+        table.close(spark, before)
+        if tidy:
+            table.tidy(spark)
+
+
+def first_positions(spark: SparkSession, at: jobs.Warehouse, job: str, given: str | None) -> dict | None:
+    """The positions to start a new checkpoint from: as given, or as an earlier run stored them."""
+    if given != STORED:
+        return json.loads(given) if given else None
+    return stored_positions(spark, at.positions, job) or None
 
 
 def wait(spark: SparkSession, started: list) -> None:
@@ -71,19 +95,30 @@ def wait(spark: SparkSession, started: list) -> None:
 
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=JOBS)
+    parser.add_argument("job", choices=(*JOBS, CLOSE))
     parser.add_argument("--root", required=True, help="folder that all executors share")
     parser.add_argument("--servers", help="Kafka bootstrap servers")
     parser.add_argument("--every", default="5 seconds", help="micro-batch interval")
     parser.add_argument("--once", action="store_true", help="read what there is, then stop")
-    parser.add_argument("--start", type=json.loads, help='first offsets, as {"topic": {"0": 12}}')
+    parser.add_argument("--start", help='first offsets, as {"topic": {"0": 12}}, or "stored"')
     parser.add_argument("--on-delete", choices=("keep", "drop"), default="keep", help="deleted dimension rows")
-    parser.add_argument("--buckets", type=int, default=BUCKETS, help="buckets of a dimension table")
+    parser.add_argument("--buckets", type=int, help="buckets of a dimension table; by its bytes unless given")
+    parser.add_argument("--renew", action="store_true", help="a device's later pages make it last longer")
+    parser.add_argument("--waiting", choices=("join", "sets"), default="join", help="how lines wait for their order")
+    parser.add_argument("--before", help="days before this one are closed")
+    parser.add_argument("--tidy", action="store_true", help="remove the batches of closed days")
     args = parser.parse_args()
     spark = tune(SparkSession.builder.appName(args.job).getOrCreate())
+    at = jobs.Warehouse(args.root)
+    if args.job == CLOSE:
+        close_days(spark, at, args.before or date.today().isoformat(), args.tidy)
+        return
+    at = jobs.Warehouse(args.root, args.buckets or buckets_for(spark, at.dimensions))
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
-    at = jobs.Warehouse(args.root, args.buckets)
-    wait(spark, start(spark, args.job, at, args.servers, trigger, args.start, args.on_delete))
+    how = {"daily_actives": {"renew": args.renew}, "widen_orders": {"waiting": args.waiting}}.get(args.job, {})
+    positions = first_positions(spark, at, args.job, args.start)
+    spark.streams.addListener(StoredPositions(spark, at.positions))
+    wait(spark, start(spark, args.job, at, args.servers, trigger, positions, args.on_delete, **how))
 
 
 if __name__ == "__main__":

@@ -25,10 +25,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return _pick(df, keys, order, F.max_by)
 
 
-def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    return df.dropDuplicates(list(columns) if columns else None)
-
-
 def end_offsets(messages: DataFrame) -> DataFrame:
     """Per topic partition, the offset after the last one read."""
     return messages.groupBy("topic", "partition").agg(

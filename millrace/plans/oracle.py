@@ -134,16 +134,17 @@ WRITES = """sku_id DESC, order_price DESC, sku_num DESC, split_total_amount DESC
 
 CHANGES = f"""
   SELECT 'order_info' AS "table", id AS key,
-         CASE order_status WHEN 'O' THEN 'insert' WHEN 'F' THEN 'update' WHEN 'P' THEN 'bootstrap-start' END AS type
+         CASE order_status WHEN 'O' THEN 'insert' WHEN 'F' THEN 'update' WHEN 'P' THEN 'bootstrap-start' END AS type,
+         total_amount AS amount, NULL::VARCHAR AS what
   FROM ({HEADERS})
   UNION ALL
-  SELECT 'order_detail', id, CASE WHEN order_price > 50000 THEN 'bootstrap-insert' END FROM ({LINES})
+  SELECT 'order_detail', id, CASE WHEN order_price > 50000 THEN 'bootstrap-insert' END, order_price, NULL FROM ({LINES})
   UNION ALL
-  SELECT 'user_info', id::BIGINT, CASE gender WHEN 'M' THEN 'insert' WHEN 'F' THEN 'delete' END FROM ({USERS})
+  SELECT 'user_info', id::BIGINT, CASE gender WHEN 'M' THEN 'insert' WHEN 'F' THEN 'delete' END, NULL, gender FROM ({USERS})
   UNION ALL
-  SELECT 'base_province', id::BIGINT, 'bootstrap-insert' FROM ({PROVINCES})
+  SELECT 'base_province', id::BIGINT, 'bootstrap-insert', NULL, name FROM ({PROVINCES})
   UNION ALL
-  SELECT 'supplier_info', s_suppkey, 'insert' FROM supplier
+  SELECT 'supplier_info', s_suppkey, 'insert', NULL, NULL FROM supplier
 """
 
 OP = """CASE WHEN type IN ('bootstrap-insert', 'insert') THEN 'I'
@@ -170,19 +171,63 @@ FANOUT = f"""
   FROM ({EVENTS}) WHERE fate = 'rejected'
 """
 
-DAU_WIDE = f"""
+# One clock in ten is 40 days ahead of the moment its message arrived.
+_AHEAD = "CASE WHEN event_id % 10 = 0 THEN 40 ELSE 0 END"
+
+FIRST_ARRIVED = f"""
+  SELECT strftime(ts + to_days({_AHEAD}), '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hr,
+         ms + {_AHEAD}::BIGINT * 86400000 AS ms, {COMMON}, {PAGE}
+  FROM ({EVENTS}) user_events WHERE {HAS_PAGE} AND event_type IN ('view', 'signup')
+  QUALIFY row_number() OVER (
+    PARTITION BY strftime(ts + to_days({_AHEAD}), '%Y-%m-%d'), user_events.user_id ORDER BY epoch_us(ts), event_id) = 1
+"""
+
+
+def _dau_wide(firsts: str) -> str:
+    return f"""
   SELECT f.mid, f.user_id, f.province_id, f.channel, f.is_new, f.model, f.operate_system,
          f.version_code, f.brand, f.page_id, f.page_item, f.page_item_type, f."sourceType",
          f.during_time, u.gender AS user_gender, {AGE_NOW} AS user_age, p.name AS province_name,
          p.iso_code AS province_iso_code, p.iso_3166_2 AS province_3166_2,
          p.area_code AS province_area_code, f.dt, f.hr, f.ms AS ts
-  FROM ({FIRSTS}) f LEFT JOIN ({USERS}) u ON f.user_id = u.id
+  FROM ({firsts}) f LEFT JOIN ({USERS}) u ON f.user_id = u.id
   LEFT JOIN ({PROVINCES}) p ON f.province_id = p.id
 """
 
+
+DAU_WIDE = _dau_wide(FIRSTS)
+
 HEADER_AT = "TIMESTAMP '2024-01-01' + to_seconds(h.id * 7919 % 259200)"
 LINE_AT = "TIMESTAMP '2024-01-01' + to_seconds(l.sku_id * 104729 % 259200)"
 
+STREAM_ORDERS = f"""
+  SELECT l.id AS detail_id, l.order_id, l.sku_id, l.order_price, l.sku_num, l.sku_name,
+         l.split_total_amount, l.split_activity_amount, l.split_coupon_amount,
+         h.province_id, h.order_status, h.user_id, h.total_amount, h.activity_reduce_amount,
+         h.coupon_reduce_amount, h.original_total_amount, h.freight_fee, h.freight_fee_reduce,
+         h.expire_time, h.refundable_time, strftime({LINE_AT}, '%Y-%m-%d %H:%M:%S') AS create_time, h.operate_time,
+         h.create_date, h.create_hour, h.province_name, h.province_area_code,
+         h.province_3166_2 AS province_3166_2_code, h.province_iso_code, h.user_age, h.user_gender,
+         strftime({LINE_AT}, '%Y-%m-%d') AS dt, epoch_ms({LINE_AT}) AS line_ms
+  FROM ({WIDE_HEADERS}) h JOIN ({LINES}) l ON h.id = l.order_id
+  WHERE {LINE_AT} BETWEEN {HEADER_AT} - INTERVAL 24 HOUR AND {HEADER_AT} + INTERVAL 24 HOUR
+  QUALIFY row_number() OVER (
+    PARTITION BY strftime({LINE_AT}, '%Y-%m-%d'), l.id
+    ORDER BY {LINE_AT} DESC, order_price DESC, sku_num DESC, split_total_amount DESC,
+             split_activity_amount DESC, split_coupon_amount DESC) = 1
+"""
+
+NEAR = f"{LINE_AT} BETWEEN {HEADER_AT} - INTERVAL 24 HOUR AND {HEADER_AT} + INTERVAL 24 HOUR"
+
+UNMATCHED = f"""
+  SELECT 'UNMATCHED_ORDER_INFO' AS topic, h.id AS order_id, h.id, NULL::BIGINT AS sku_id, NULL::DOUBLE AS order_price,
+         epoch_ms({HEADER_AT}) AS ms
+  FROM ({HEADERS}) h WHERE NOT EXISTS (FROM ({LINES}) l WHERE l.order_id = h.id AND {NEAR})
+  UNION ALL
+  SELECT 'UNMATCHED_ORDER_DETAIL', l.order_id, l.id, l.sku_id, l.order_price, epoch_ms({LINE_AT})
+  FROM (SELECT DISTINCT * FROM ({LINES})) l WHERE NOT EXISTS (FROM ({HEADERS}) h WHERE l.order_id = h.id AND {NEAR})
+"""
+
 ORACLE = {
     "json_field": "SELECT event_id, (props::JSON ->> '$.k')::BIGINT AS k FROM events",
     "json_typed": f"""
@@ -257,12 +302,11 @@ ORACLE = {
         SELECT dt, mid, "offset" FROM ({FIRSTS}) WHERE NOT (dt < '2024-01-16' OR is_new = '1')""",
     "order_enrich": WIDE_HEADERS,
     "order_outer": f"""
-        SELECT CASE WHEN l.id IS NULL THEN 'header only' WHEN h.id IS NULL THEN 'line only'
-                    ELSE 'both' END AS side,
-               count(*) AS n, sum(h.id)::BIGINT AS header_sum, sum(l.id)::BIGINT AS line_sum
-        FROM ({HEADERS}) h FULL OUTER JOIN ({LINES}) l
-          ON h.id = CASE WHEN l.order_price < 5000 THEN -1 - l.order_id ELSE l.order_id END
-        GROUP BY 1""",
+        SELECT CASE WHEN l.id IS NULL THEN 'header only' WHEN h.id IS NULL THEN 'line only' ELSE 'both' END AS side,
+               h.id AS header_id, h.total_amount, l.id AS line_id, l.order_id, l.sku_id, l.order_price
+        FROM ({HEADERS}) h
+        FULL OUTER JOIN (SELECT * REPLACE (CASE WHEN order_price < 5000 THEN -1 - order_id ELSE order_id END AS order_id) FROM ({LINES})) l
+          ON h.id = l.order_id""",
     "order_wide": ORDER_WIDE,
     "order_late": f"""
         SELECT l.id AS detail_id, h.id AS order_id, l.sku_id, l.order_price
@@ -288,31 +332,16 @@ ORACLE = {
         FROM events GROUP BY ALL""",
     "stream_log_routes": FANOUT,
     "stream_changes": f"""
-          SELECT 'DWD_' || upper("table") || '_' || {OP} AS topic, key
+          SELECT 'DWD_' || upper("table") || '_' || {OP} AS topic, key, amount, what
           FROM ({CHANGES}) WHERE {OP} IS NOT NULL
             AND "table" IN ('order_info', 'order_detail', 'base_province')
           UNION ALL
-          SELECT 'DIM:' || "table", key FROM ({CHANGES})
+          SELECT 'DIM:' || "table", key, NULL, what FROM ({CHANGES})
           WHERE {OP} IS NOT NULL AND "table" IN ('user_info', 'base_province')""",
     "stream_dim_upsert": f"SELECT id, gender, birthday FROM ({USER_VERSIONS})",
     "stream_dau": DAU_WIDE,
-    "stream_dau_state": f"""
-        SELECT DISTINCT strftime(ts + to_days(CASE WHEN event_id % 10 = 0 THEN 40 ELSE 0 END), '%Y-%m-%d') AS dt,
-               'mid_' || user_id AS mid, 'v2.1' AS version_code, 'sku_id' AS page_item_type
-        FROM ({EVENTS}) WHERE {HAS_PAGE} AND event_type IN ('view', 'signup')""",
-    "stream_orders": f"""
-          SELECT l.id AS detail_id, l.order_id, l.sku_id, l.order_price, l.sku_num, l.sku_name,
-                 l.split_total_amount, l.split_activity_amount, l.split_coupon_amount,
-                 h.province_id, h.order_status, h.user_id, h.total_amount, h.activity_reduce_amount,
-                 h.coupon_reduce_amount, h.original_total_amount, h.freight_fee, h.freight_fee_reduce,
-                 h.expire_time, h.refundable_time, strftime({LINE_AT}, '%Y-%m-%d %H:%M:%S') AS create_time, h.operate_time,
-                 h.create_date, h.create_hour, h.province_name, h.province_area_code,
-                 h.province_3166_2 AS province_3166_2_code, h.province_iso_code, h.user_age, h.user_gender,
-                 strftime({LINE_AT}, '%Y-%m-%d') AS dt, epoch_ms({LINE_AT}) AS line_ms
-          FROM ({WIDE_HEADERS}) h JOIN ({LINES}) l ON h.id = l.order_id
-          WHERE {LINE_AT} BETWEEN {HEADER_AT} - INTERVAL 24 HOUR AND {HEADER_AT} + INTERVAL 24 HOUR
-          QUALIFY row_number() OVER (
-            PARTITION BY strftime({LINE_AT}, '%Y-%m-%d'), l.id
-            ORDER BY {LINE_AT} DESC, order_price DESC, sku_num DESC, split_total_amount DESC,
-                     split_activity_amount DESC, split_coupon_amount DESC) = 1""",
+    "stream_dau_state": _dau_wide(FIRST_ARRIVED),
+    "stream_orders": STREAM_ORDERS,
+    "stream_order_sets": STREAM_ORDERS,
+    "stream_unmatched": UNMATCHED,
 }

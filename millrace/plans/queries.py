@@ -252,10 +252,14 @@ def order_outer(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("header").isNull(), "line only")
         .otherwise("both")
     )
-    return both.groupBy(side.alias("side")).agg(
-        F.count("*").alias("n"),
-        F.sum("header.id").alias("header_sum"),
-        F.sum("line.id").alias("line_sum"),
+    return both.select(
+        side.alias("side"),
+        F.col("header.id").alias("header_id"),
+        "header.total_amount",
+        F.col("line.id").alias("line_id"),
+        "line.order_id",
+        "line.sku_id",
+        "line.order_price",
     )
 
 

@@ -44,7 +44,6 @@ APP_LOG = _struct(
 
 # Database change record; "data" stays JSON text until its table is known.
 CHANGE = _struct(type=S, table=S, data=S)
-ROW_ID = _struct(id=S)
 
 _COMMON = dict(
     mid=S,

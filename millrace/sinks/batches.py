@@ -66,29 +66,3 @@ def read_latest(
     rows = read_batches(spark, path, schema).select(*schema.fieldNames())
     return latest_per_key(rows, keys, order)
 
-
-def publish(current: DataFrame, path: str, partition: str = "dt") -> None:
-    """Write current rows as a plain table, one row per key, replacing only the
-    partitions present. Run on closed days it gives readers few large files.
-    ``path`` is not the batch table's own folder."""
-    (
-        current.hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-
-
-def compact(
-    spark: SparkSession,
-    path: str,
-    schema: StructType,
-    keys: Sequence[str],
-    order: Sequence[str],
-    into: str,
-    partition: str,
-) -> None:
-    """Write the current rows of a batch table to a new folder, as its first
-    batch. Jobs started on that folder read few large files again."""
-    write_batch(read_latest(spark, path, schema, keys, order), "compacted", into, partition)

@@ -26,6 +26,8 @@ def read_partitions_or_empty(
 ) -> DataFrame:
     """As ``read_or_empty``, of the given partition values alone. Their folders
     are the only ones listed, however many others the table has."""
+    if not values:
+        return spark.createDataFrame([], schema)
     folders = f"{path}/{partition}={{{','.join(values)}}}"
     reader = spark.read.schema(schema).option("basePath", path)
     try:
@@ -36,6 +38,31 @@ def read_partitions_or_empty(
         return spark.createDataFrame([], schema)
 
 
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(conf)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders directly under ``path``; none if that is missing."""
+    at, fs = _path(spark, path)
+    if not fs.exists(at):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(at) if f.isDirectory())
+
+
+def bytes_under(spark: SparkSession, path: str) -> int:
+    at, fs = _path(spark, path)
+    return fs.getContentSummary(at).getLength() if fs.exists(at) else 0
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    at, fs = _path(spark, path)
+    fs.delete(at, True)
+
+
 def table_list(spark: SparkSession, path: str) -> DataFrame:
     """A list of table names. Called per batch, it follows the stored list."""
     return read_or_empty(spark, path, StructType().add("table", "string"))

@@ -11,20 +11,18 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from millrace.functions.parse import json_text
 from millrace.operators import cdc, dau, log_split, orders
-from millrace.operators.keyed import first_per_key, latest_per_key
+from millrace.operators.keyed import latest_per_key
 from millrace.schemas import DAU_INFO, DIMENSION_ROW, MESSAGE, STORED_ORDER_WIDE
-from millrace.sinks.batches import (
-    BATCH,
-    batch_name,
-    read_batches,
-    read_latest,
-    write_batch,
-)
+from millrace.sinks.batches import batch_name, write_batch
 from millrace.sinks.current import BUCKETS, read_current, write_current
+from millrace.sinks.days import DayTable
 from millrace.sinks.routes import as_messages, batch_to_kafka, route_to_files, route_to_kafka
 from millrace.sources.tables import table_list
-from millrace.streaming.joins import stream_first_of_day, stream_pairs
+from millrace.streaming.joins import stream_pairs
+from millrace.streaming.positions import observed
+from millrace.streaming.state import ONLY_HEADER, ONLY_LINE, PAIR, first_to_arrive, order_sets
 
 Trigger = Mapping[str, object]
 EVERY_5_SECONDS: Trigger = {"processingTime": "5 seconds"}
@@ -33,6 +31,10 @@ ARRIVAL = cdc.ARRIVAL
 # Order of the versions of a wide row; of two that arrived together the content decides,
 # so that every run keeps the same one.
 WIDE_ARRIVAL = ["header_at", "line_at"]
+# Days whose devices a new checkpoint knows; days of a batch that are read one by one.
+RESTORED_DAYS = 2
+UNMATCHED_HEADERS, UNMATCHED_LINES = "UNMATCHED_ORDER_INFO", "UNMATCHED_ORDER_DETAIL"
+MANY_DAYS = 1_000
 WIDE_ORDER = [*WIDE_ARRIVAL, "order_price", "sku_num", "split_total_amount", "split_activity_amount", "split_coupon_amount"]
 
 
@@ -76,10 +78,31 @@ class Warehouse:
     def order_wide(self) -> str:
         return f"{self.root}/order_wide"
 
+    @property
+    def dau_days(self) -> DayTable:
+        """The wide row of each device and day: the first, should it be stored twice."""
+        order = ["ts", *(c for c in DAU_INFO.fieldNames() if c not in (*dau.KEY, "ts"))]
+        return DayTable(self.dau_info, DAU_INFO, dau.KEY, order, first=True)
+
+    @property
+    def order_days(self) -> DayTable:
+        """The wide row of each line and day, as last written."""
+        return DayTable(self.order_wide, STORED_ORDER_WIDE, ["dt", "detail_id"], WIDE_ORDER)
+
     @property
     def rejected(self) -> str:
         return f"{self.root}/rejected"
 
+    @property
+    def unmatched(self) -> str:
+        """Headers without a line and lines without a header, as messages by topic."""
+        return f"{self.root}/unmatched"
+
+    @property
+    def positions(self) -> str:
+        """What the jobs have worked off; see streaming/positions.py."""
+        return f"{self.root}/positions"
+
     def checkpoint(self, job: str) -> str:
         return f"{self.root}/checkpoints/{job}"
 
@@ -112,13 +135,12 @@ def dimensions(spark: SparkSession, at: Warehouse, on_delete: str = "keep") -> t
 
 
 def dimensions_for(facts: DataFrame, at: Warehouse, on_delete: str = "keep") -> tuple[DataFrame, DataFrame]:
-    """Both dimensions as they are now, as far as a batch of facts refers to them.
-    Where the batch's ids are few bytes, Spark broadcasts them, and no other rows
-    than those are shuffled."""
+    """Both dimensions as they are now, as far as a batch of facts refers to them: the
+    buckets of the batch's ids are read, and no others."""
 
     def needed(table: str, key: str) -> DataFrame:
-        ids = facts.select(F.col(key).alias("id")).distinct()
-        versions = _versions(facts.sparkSession, at, table).join(ids, "id", "left_semi")
+        ids = facts.select(F.col(key).alias("id")).where("id IS NOT NULL")
+        versions = read_current(facts.sparkSession, at.dimensions, DIMENSION_ROW, "table", table, ids)
         return cdc.current_rows(versions, on_delete)
 
     return (
@@ -128,15 +150,13 @@ def dimensions_for(facts: DataFrame, at: Warehouse, on_delete: str = "keep") ->
 
 
 def dau_rows(spark: SparkSession, at: Warehouse) -> DataFrame:
-    """The wide row of each device and day: the first, should it be stored twice."""
-    rows = read_batches(spark, at.dau_info, DAU_INFO).drop(BATCH)
-    return first_per_key(rows, dau.KEY, ["ts", *(c for c in DAU_INFO.fieldNames() if c not in (*dau.KEY, "ts"))])
+    """The wide row of each device and day."""
+    return at.dau_days.current(spark)
 
 
 def order_wide_rows(spark: SparkSession, at: Warehouse) -> DataFrame:
     """The wide row of each line and day, as last written."""
-    rows = read_latest(spark, at.order_wide, STORED_ORDER_WIDE, ["dt", "detail_id"], WIDE_ORDER)
-    return rows.drop(*WIDE_ARRIVAL)
+    return at.order_days.current(spark).drop(*WIDE_ARRIVAL)
 
 
 # --- jobs ---
@@ -150,7 +170,7 @@ def split_logs(
 ) -> list[StreamingQuery]:
     """Raw app logs to their five routes, and what cannot be read to a sixth:
     topics of the Kafka ``servers`` when given, else folders."""
-    routed = log_split.fan_out(log_split.parse_log(messages), *ARRIVAL)
+    routed = log_split.fan_out(log_split.parse_log(observed(messages)), *ARRIVAL)
     name = "split_logs"
     if servers:
         writer = route_to_kafka(routed, servers, at.checkpoint(name))
@@ -187,7 +207,7 @@ def split_changes(
             changes.unpersist()
 
     name = "split_changes"
-    return [_start(_each_batch(messages, work, at.checkpoint(name)), name, trigger)]
+    return [_start(_each_batch(observed(messages), work, at.checkpoint(name)), name, trigger)]
 
 
 def daily_actives(
@@ -195,33 +215,36 @@ def daily_actives(
     at: Warehouse,
     as_of: date | Column | None = None,
     seen: str = "state",
-    restore: bool = True,
+    restore: int | None = RESTORED_DAYS,
     on_delete: str = "keep",
     trigger: Trigger = EVERY_5_SECONDS,
+    lifetime: str = "24 hours",
+    renew: bool = False,
+    replay: bool = False,
 ) -> list[StreamingQuery]:
-    """Page messages to the daily-active table, each device once per day.
-
-    ``seen="state"`` keeps the devices of a day in the state store for a day after they
-    are read, which makes a batch cost no more than its own rows. ``restore`` compares
-    the first batch of a new checkpoint with the table, as a start over an older table
-    must; should a device come back after its state is gone, ``dau_rows`` gives its
-    first row. ``seen="table"`` asks the table in each batch, and needs no state.
-
-    Messages that can't be used go with the same read to a rejected folder. They pass
-    the state as days of their own, one for each partition and offset.
+    """Page messages to the daily-active table, the first to arrive of each device and day.
+
+    ``seen="state"`` keeps the devices of a day in the state store for ``lifetime`` after
+    they are first read, or last read with ``renew``; a batch costs its own rows. A new
+    checkpoint starts with the devices of the last ``restore`` days that the table holds,
+    all of them if that is null. Should a device come back when its state is gone,
+    ``dau_rows`` gives its first row. ``replay`` lets arrivals tell time, not the clock.
+    ``seen="table"`` asks the table in each batch, and needs no state; of the table only
+    the days of the batch are listed and read.
+
+    Of the rows of one batch that with the smallest time of arrival, partition and offset
+    is the first. Messages that can't be used go with the same read to a rejected folder.
+    They pass the state as days of their own, one for each partition and offset.
     """
     if seen not in ("table", "state"):
         raise ValueError(f"seen must be table or state, not {seen!r}")
+    spark = messages.sparkSession
 
-    def widen(firsts: DataFrame, name: str, compare: bool) -> None:
-        spark = firsts.sparkSession
-        fresh = firsts
-        if compare:
-            # The days are read off the folders' names, and the join prunes to those met.
-            stored = read_batches(spark, at.dau_info, DAU_INFO).where(F.col(BATCH) != name)
-            fresh = dau.not_yet_stored(firsts, stored.join(F.broadcast(_days(firsts)), "dt", "left_semi"))
-        fresh = fresh.persist()
+    def widen(firsts: DataFrame, name: str) -> None:
+        fresh = firsts.persist()
         try:
+            if fresh.isEmpty():
+                return
             missed = Observation()
             users, provinces = dimensions_for(fresh, at, on_delete)
             write_batch(dau.dau_info(fresh, users, provinces, as_of, misses=missed), name, at.dau_info, "dt")
@@ -237,19 +260,33 @@ def daily_actives(
             firsts = rows.where("NOT rejected")
             if seen == "table":
                 firsts = dau.first_of_day(firsts, ARRIVAL)
-            widen(firsts, name, seen == "table" or (restore and batch_id == 0))
+                stored = at.dau_days.rows(batch.sparkSession, _days(firsts), without=name)
+                firsts = dau.not_yet_stored(firsts, stored)
+            widen(firsts, name)
         finally:
             rows.unpersist()
 
     name = "daily_actives"
-    entries = dau.entries_or_rejected(dau.parse_pages(messages))
-    source = entries if seen == "table" else stream_first_of_day(entries)
+    source = dau.entries_or_rejected(dau.parse_pages(observed(messages)))
+    if seen == "state":
+        arrival = F.col("timestamp") if replay else None
+        source = first_to_arrive(source, dau.KEY, ARRIVAL, _restored(spark, at, restore), lifetime, renew, arrival)
     return [_start(_each_batch(source, work, at.checkpoint(name)), name, trigger)]
 
 
-def _days(firsts: DataFrame) -> DataFrame:
-    """The days of a batch, which clocks can show: at most three million short texts."""
-    return firsts.select("dt").distinct()
+def _restored(spark: SparkSession, at: Warehouse, days: int | None) -> DataFrame:
+    """The devices of the last days in the table. Read by a stream's first batch alone."""
+    stored = at.dau_days.rows(spark).select(*dau.KEY)
+    if days is not None:
+        last = stored.select("dt").distinct().orderBy(F.col("dt").desc()).limit(days)
+        stored = stored.join(last, "dt", "left_semi")
+    return stored.distinct()
+
+
+def _days(firsts: DataFrame) -> list[str] | None:
+    """The days of a batch, or null for all days where a batch names very many."""
+    days = [r[0] for r in firsts.select("dt").distinct().limit(MANY_DAYS + 1).collect()]
+    return sorted(days) if len(days) <= MANY_DAYS else None
 
 
 def widen_orders(
@@ -261,44 +298,79 @@ def widen_orders(
     salts: int = 1,
     on_delete: str = "keep",
     trigger: Trigger = EVERY_5_SECONDS,
+    waiting: str = "join",
+    apart: str | None = None,
+    replay: bool = False,
 ) -> list[StreamingQuery]:
-    """Header and line messages to the order wide table, by line and day."""
+    """Header and line messages to the order wide table, by line and day.
+
+    ``waiting="join"`` joins the streams: partners that arrive up to ``lifetime`` apart
+    meet, and each row waits on its own. ``waiting="sets"`` keeps the lines of an order
+    as a set that lives for ``lifetime`` after its last line; what waits in vain goes to
+    the unmatched folder when its life ends and something later has been read. There
+    ``apart`` limits how far apart partners may have arrived, and ``replay`` lets
+    arrivals tell time, not the clock.
+    """
+    if waiting not in ("join", "sets"):
+        raise ValueError(f"waiting must be join or sets, not {waiting!r}")
 
-    def work(pairs: DataFrame, batch_id: int) -> None:
-        name = batch_name(pairs.sparkSession, batch_id)
-        pairs = pairs.persist()
+    def work(found: DataFrame, batch_id: int) -> None:
+        name = batch_name(found.sparkSession, batch_id)
+        found = found.persist()
         try:
-            missed = Observation()
-            users, provinces = dimensions_for(pairs.select("header.*"), at, on_delete)
-            wide = orders.merge(
-                orders.enrich_pairs(pairs, users, provinces, as_of, misses=missed),
-                F.col("header.at").alias("header_at"),
-                F.col("line.at").alias("line_at"),
-            )
-            latest = latest_per_key(orders.with_wide_day(wide), ["dt", "detail_id"], WIDE_ORDER)
-            write_batch(latest, name, at.order_wide, "dt")
-            report("widen_orders", name, missed)
+            if waiting == "sets":
+                write_batch(_unmatched(found), name, at.unmatched, "topic")
+                widen(found.where(F.col("kind") == PAIR).drop("kind"), name)
+            else:
+                widen(found, name)
         finally:
-            pairs.unpersist()
+            found.unpersist()
+
+    def widen(pairs: DataFrame, name: str) -> None:
+        if pairs.isEmpty():
+            return
+        missed = Observation()
+        users, provinces = dimensions_for(pairs.select("header.*"), at, on_delete)
+        wide = orders.merge(
+            orders.enrich_pairs(pairs, users, provinces, as_of, misses=missed),
+            F.col("header.at").alias("header_at"),
+            F.col("line.at").alias("line_at"),
+        )
+        latest = latest_per_key(orders.with_wide_day(wide), ["dt", "detail_id"], WIDE_ORDER)
+        write_batch(latest, name, at.order_wide, "dt")
+        report("widen_orders", name, missed)
 
     arrival = F.col("timestamp").alias("at")
     parsed_headers = orders.parse_headers(header_messages)
     parsed_lines = orders.parse_lines(line_messages)
-    pairs = stream_pairs(
-        orders.headers_of(parsed_headers, arrival),
-        orders.lines_of(parsed_lines, arrival),
-        lifetime,
-        salts,
-    )
+    headers = orders.headers_of(orders.parse_headers(observed(header_messages, 0)), arrival)
+    lines = orders.lines_of(orders.parse_lines(observed(line_messages, 1)), arrival)
+    if waiting == "sets":
+        source = order_sets(headers, lines, lifetime, apart, replay)
+    else:
+        source = stream_pairs(headers, lines, lifetime, salts)
     columns = [*MESSAGE.fieldNames(), "rejected"]
     rejects = parsed_headers.select(*columns).unionByName(parsed_lines.select(*columns))
     name = "widen_orders"
     return [
-        _start(_each_batch(pairs, work, at.checkpoint(name)), name, trigger),
+        _start(_each_batch(source, work, at.checkpoint(name)), name, trigger),
         keep_rejected(rejects, at, name, trigger),
     ]
 
 
+def _unmatched(found: DataFrame) -> DataFrame:
+    """Rows that were left alone, as messages of a topic for each side."""
+    parts = []
+    for kind, topic in ((ONLY_HEADER, UNMATCHED_HEADERS), (ONLY_LINE, UNMATCHED_LINES)):
+        side = found.where(F.col("kind") == kind).select(f"{kind}.*")
+        fields = [c for c in side.columns if c != "at"]
+        key = F.col("id" if kind == ONLY_HEADER else "order_id").cast("string")
+        parts.append(
+            side.select(F.lit(topic).alias("topic"), F.col("at").alias("timestamp"), key.alias("key"), json_text(*fields).alias("value"))
+        )
+    return as_messages(parts[0].unionByName(parts[1]))
+
+
 def write_rejected(rows: DataFrame, batch: str, at: Warehouse, job: str) -> None:
     """Messages of a batch that a job could not use, as they came."""
     write_batch(rows.select(*MESSAGE.fieldNames()), batch, f"{at.rejected}/{job}", "topic")

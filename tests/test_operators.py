@@ -332,12 +332,6 @@ def test_batches_repeat_safely_and_the_last_write_wins(spark):
     got = batches.read_latest(spark, path, kind, ["dt", "k"], ["n"])
     expected = [("d1", 1, 1, "new"), ("d1", 3, 1, "more"), ("d2", 2, 0, "kept")]
     assert sorted(tuple(r) for r in got.collect()) == expected
-    into = shared_folder(spark)
-    batches.compact(spark, path, kind, ["dt", "k"], ["n"], into, "dt")
-    assert sorted(tuple(r) for r in batches.read_latest(spark, into, kind, ["dt", "k"], ["n"]).collect()) == expected
-    plain = shared_folder(spark)
-    batches.publish(got, plain)
-    assert sorted((r.dt, r.k) for r in spark.read.parquet(plain).collect()) == [("d1", 1), ("d1", 3), ("d2", 2)]
 
 
 def test_current_rows_are_kept_by_bucket(spark, monkeypatch):
@@ -367,14 +361,53 @@ def test_current_rows_are_kept_by_bucket(spark, monkeypatch):
     want = {str(i): (0, "old") for i in range(100)} | {"7": (3, "v3"), "new": (3, "x"), "9": (5, "moved")}
     assert held() == want
     touched = [f for folders in listed[1:5] for f in folders]
-    assert all(f.startswith("t=a/bucket={") and f.count(",") <= 1 for f in touched) and len(touched) == 4
+    assert all(f.startswith("t=a/buckets=16/bucket={") and f.count(",") <= 1 for f in touched) and len(touched) == 4
     # both slots hold the key: were the one being written lost, the other has it
-    slots = spark.read.schema("t string, id string, n int, generation long, bucket int, slot int").parquet(path)
+    slots = spark.read.schema("t string, id string, n int, generation long, buckets int, bucket int, slot int").parquet(path)
     newest = slots.where("id = '7'").agg(F.max("generation"), F.count("*")).first()
     assert newest[0] >= 4 and newest[1] == 2
     assert latest_per_key(current.read_current(spark, path, kind, "t", "b"), ["id"], ["n"]).count() == 1
 
 
+def test_keys_are_looked_up_in_their_buckets(spark):
+    """The files that are read fall with the keys, under whatever number of buckets they lie."""
+    path = shared_folder(spark)
+    schema = "t string, id string, n int, v string"
+    kind = spark.createDataFrame([], schema).schema
+    rows = [("a", str(i), 0, "old") for i in range(400)]
+    current.write_current(spark.createDataFrame(rows, schema), path, kind, "t", ["t", "id"], ["n"], buckets=64)
+    current.write_current(spark.createDataFrame([("a", "7", 1, "new"), ("a", "x", 1, "y")], schema), path, kind, "t", ["t", "id"], ["n"], buckets=8)
+
+    def asked(*ids):
+        return current.read_current(spark, path, kind, "t", "a", spark.createDataFrame([(i,) for i in ids], "id string"))
+
+    def buckets(df):
+        return {tuple(p for p in f.split("/") if "bucket" in p) for f in df.inputFiles()}
+
+    found = asked("7", "7", "none")
+    assert {r.id: r.v for r in latest_per_key(found, ["id"], ["n"]).collect()} == {"7": "new"}
+    assert len(buckets(found)) <= 4 < 32 < len(buckets(asked(*map(str, range(400)))))
+    assert "bucket" in plan_of(found)
+    assert latest_per_key(asked(*map(str, range(400)), "x"), ["id"], ["n"]).count() == 401
+    assert asked().count() == 0
+    assert current.read_current(spark, path, kind, "t", "b", spark.createDataFrame([("7",)], "id string")).count() == 0
+    into = shared_folder(spark)
+    current.rebucketed(spark, path, kind, "t", ["t", "id"], ["n"], into, 4)
+    held = current.read_current(spark, into, kind, "t", "a")
+    assert (held.count(), held.where("id = '7' AND v = 'new'").count()) == (401, 1)
+    assert current.levels(spark, f"{into}/t=a") == [4]
+
+
+def test_buckets_grow_with_the_table(spark, monkeypatch):
+    path = shared_folder(spark)
+    assert current.buckets_for(spark, path) == current.BUCKETS
+    kind = spark.createDataFrame([], "t string, id string, n int").schema
+    current.write_current(spark.range(1000).selectExpr("'a' AS t", "cast(id AS string) AS id", "1 AS n"), path, kind, "t", ["t", "id"], ["n"], buckets=32)
+    assert current.buckets_for(spark, path) == 32
+    monkeypatch.setattr(current, "BUCKET_BYTES", 100)
+    assert current.buckets_for(spark, path) > 100
+
+
 def test_lookups_and_pairs_leave_the_plan_to_spark(spark):
     """Nothing runs while they are planned, and no rows are counted in one task."""
     h, d = spark.range(1000).select("id", F.lit("x").alias("status")), spark.range(5000).select("id", (F.col("id") % 1000).alias("order_id"))
@@ -397,6 +430,16 @@ def test_a_key_of_half_a_percent_is_heavy_with_many_partitions(spark):
         assert both.count() == 20_001
 
 
+def test_heavy_keys_with_very_many_partitions(spark):
+    """Frequent-item counting has a smallest share; more partitions don't go below it."""
+    lines = spark.range(30_000).select(F.when(F.col("id") < 60, 1).otherwise(F.col("id") + 10).alias("order_id"))
+    for partitions in ("60000", "10000000"):
+        with settings(spark, {"spark.sql.shuffle.partitions": partitions}):
+            share = skew.heavy_share(lines)
+            with settings(spark, {"spark.sql.shuffle.partitions": "8"}):
+                assert skew.heavy_keys(lines, "order_id", share) == [1]
+
+
 def test_misses_are_observed(spark):
     facts = spark.createDataFrame([("1", "7"), ("2", "7"), (None, "8")], "user_id string, province_id string")
     users = spark.createDataFrame([("1", "F", "2000-01-01")], "id string, gender string, birthday string")

@@ -1,0 +1,375 @@
+"""The jobs' state, lookups, closed days and stored positions, from message files."""
+
+import datetime as dt
+import json
+
+import pytest
+from messages import Topic, finish
+from pyspark.sql import functions as F
+
+from millrace import main
+from millrace.operators import dau
+from millrace.schemas import DAU_INFO, MESSAGE
+from millrace.session import shared_folder
+from millrace.sinks import days as days_module
+from millrace.sinks.batches import read_batches, write_batch
+from millrace.sinks.days import DayTable
+from millrace.sources.streams import message_files, message_stream
+from millrace.sources.tables import subfolders
+from millrace.operators.keyed import end_offsets
+from millrace.streaming import jobs, positions
+
+NOW = {"availableNow": True}
+AS_OF = dt.date(2024, 12, 31)
+DAY_1 = 1704067200000  # 2024-01-01 00:00 UTC
+HOUR = 3600 * 1000
+
+
+@pytest.fixture
+def at(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield jobs.Warehouse(shared_folder(spark))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+class Fresh(jobs.Warehouse):
+    """The same tables with a checkpoint that has seen nothing."""
+
+    def checkpoint(self, job):
+        return f"{self.root}/other_checkpoints/{job}"
+
+
+def actives(spark, at, pages, files=None, **how):
+    finish(jobs.daily_actives(message_stream(spark, pages.path, files), at, AS_OF, trigger=NOW, **how))
+
+
+def stored(spark, at):
+    """Rows as they lie in the table, before reading picks the first."""
+    return sorted((r.dt, r.mid) for r in read_batches(spark, at.dau_info, DAU_INFO).collect())
+
+
+# --- daily actives ---
+
+
+@pytest.mark.parametrize("seen", ["state", "table"])
+def test_the_first_page_to_arrive_stays(spark, at, seen):
+    """5,000 pages of 50 devices in one file, from the last to the first to arrive."""
+    rows = []
+    for i in reversed(range(5000)):
+        page = {"mid": f"d{i % 50}", "ts": DAY_1 + (7 * i) % 80_000, "page_id": f"p{i}"}
+        rows.append(("t", i % 3, i, dt.datetime(2024, 1, 1, 0, 0, i // 1000), None, json.dumps(page)))
+    spark.createDataFrame(rows, MESSAGE).coalesce(1).write.parquet(at.root + "/pages")
+    finish(jobs.daily_actives(message_stream(spark, at.root + "/pages"), at, AS_OF, seen=seen, trigger=NOW))
+    got = {r.mid: r.page_id for r in jobs.dau_rows(spark, at).collect()}
+    want = {}
+    for _, part, offset, moment, _, value in sorted(rows, key=lambda r: (r[3], r[1], r[2])):
+        page = json.loads(value)
+        want.setdefault(page["mid"], page["page_id"])
+    assert got == want
+
+
+@pytest.mark.parametrize("seen", ["state", "table"])
+def test_a_new_checkpoint_knows_the_table_beyond_its_first_batch(spark, at, seen):
+    pages = Topic(spark, at.root + "/pages")
+    pages.send([{"mid": "b", "ts": DAY_1}])
+    actives(spark, at, pages, seen=seen)
+    again = Fresh(at.root)
+    pages.send([{"mid": "a", "ts": DAY_1}])
+    pages.send([{"mid": "b", "ts": DAY_1 + HOUR}, {"mid": "a", "ts": DAY_1 + HOUR}, {"mid": "c", "ts": DAY_1}])
+    pages.send([{"mid": "b", "ts": DAY_1 + 25 * HOUR}, {"mid": "c", "ts": DAY_1 + HOUR}])
+    actives(spark, again, pages, files=1, seen=seen)
+    want = [("2024-01-01", "a"), ("2024-01-01", "b"), ("2024-01-01", "c"), ("2024-01-02", "b")]
+    assert stored(spark, at) == want
+
+
+def test_only_the_last_days_are_known_to_a_new_checkpoint(spark, at):
+    pages = Topic(spark, at.root + "/pages")
+    pages.send([{"mid": "a", "ts": DAY_1 + d * 24 * HOUR} for d in range(4)])
+    actives(spark, at, pages)
+    restored = sorted(r.dt for r in jobs._restored(spark, at, 2).collect())
+    assert restored == ["2024-01-03", "2024-01-04"]
+    assert jobs._restored(spark, at, None).count() == 4
+    assert jobs._restored(spark, at, 0).count() == 0
+
+
+@pytest.mark.parametrize(("renew", "times"), [(True, 1), (False, 2)])
+def test_a_device_seen_again_lasts_longer(spark, at, renew, times):
+    """One day's pages that arrive at hours 0, 20 and 40, and past the last life's end."""
+    pages = Topic(spark, at.root + "/pages")
+    for hour in (0, 20, 40):
+        moment = dt.datetime(2024, 1, 1) + dt.timedelta(hours=hour)
+        pages.send([{"mid": "a", "ts": DAY_1 + 1}, {"mid": f"other{hour}", "ts": DAY_1}], at=moment.isoformat())
+        actives(spark, at, pages, renew=renew, replay=True)
+    assert [mid for _, mid in stored(spark, at)].count("a") == times
+    assert [r.mid for r in jobs.dau_rows(spark, at).where("mid = 'a'").collect()] == ["a"]
+    pages.send([{"mid": "b", "ts": DAY_1}], at="2024-01-10 00:00:00")
+    pages.send([{"mid": "a", "ts": DAY_1}], at="2024-01-10 00:00:01")
+    actives(spark, at, pages, renew=renew, replay=True, files=1)
+    assert [mid for _, mid in stored(spark, at)].count("a") == times + 1
+
+
+def test_asking_the_table_reads_the_days_of_the_batch(spark, at):
+    """However many other days there are, and closed ones too."""
+    rows = [("x", "2024-01-%02d" % d) for d in range(1, 29)]
+    kind = "mid string, dt string"
+    for batch in ("q-0", "q-1"):
+        frame = spark.createDataFrame(rows, kind)
+        full = frame.select(*[F.col(f.name) if f.name in ("mid", "dt") else F.lit(None).cast(f.dataType).alias(f.name) for f in DAU_INFO])
+        write_batch(full, batch, at.dau_info, "dt")
+    asked = at.dau_days.rows(spark, ["2024-01-05", "2024-01-06"], without="q-0")
+    assert all("dt=2024-01-05" in f or "dt=2024-01-06" in f for f in asked.inputFiles()) and asked.count() == 2
+    at.dau_days.close(spark, "2024-01-06")
+    asked = at.dau_days.rows(spark, ["2024-01-05", "2024-01-06"])
+    assert all("dt=2024-01-05" in f or "dt=2024-01-06" in f for f in asked.inputFiles())
+    firsts = spark.createDataFrame([("2024-01-05", "x"), ("2024-01-05", "y")], "dt string, mid string")
+    assert [r.mid for r in dau.not_yet_stored(firsts, asked).collect()] == ["y"]
+    assert jobs._days(firsts) == ["2024-01-05"]
+    assert at.dau_days.rows(spark, []).count() == 0
+
+
+# --- orders ---
+
+
+def header(order, **extra):
+    return {"id": order, "province_id": "7", "user_id": "1", "create_time": "2024-01-01 10:11:12", **extra}
+
+
+def line(number, order, **extra):
+    return {"id": number, "order_id": order, "sku_id": 5, "create_time": "2024-01-01 10:11:13", **extra}
+
+
+def orders_of(spark, at, h, d, files=None, **how):
+    streams = message_stream(spark, h.path, files), message_stream(spark, d.path, files)
+    finish(jobs.widen_orders(*streams, at, AS_OF, trigger=NOW, waiting="sets", **how))
+
+
+def topics(spark, at):
+    return Topic(spark, at.root + "/headers"), Topic(spark, at.root + "/lines")
+
+
+def wide(spark, at):
+    return sorted((r.order_id, r.detail_id, r.order_status) for r in jobs.order_wide_rows(spark, at).collect())
+
+
+def state_rows(spark, at):
+    folder = at.checkpoint("widen_orders")
+    return spark.read.format("statestore").option("path", folder).option("stateVarName", "lines").load()
+
+
+def test_sets_pair_in_any_order(spark, at):
+    h, d = topics(spark, at)
+    # order 1: same batch; 2: header first; 3: line first; 4: no line; 5: no header
+    h.send([header(1), header(2), header(4), "bad"])
+    d.send([line(11, 1), line(12, 1), line(31, 3), line(51, 5), line(4, 3), {"id": 1}])
+    orders_of(spark, at, h, d)
+    h.send([header(3), header(1, order_status="paid")], at="2024-01-01 05:00:00")
+    d.send([line(21, 2)], at="2024-01-01 05:00:00")
+    orders_of(spark, at, h, d)
+    assert wide(spark, at) == [(1, 11, "paid"), (1, 12, "paid"), (2, 21, None), (3, 4, None), (3, 31, None)]
+    assert message_files(spark, at.rejected + "/widen_orders").count() == 2
+    assert subfolders(spark, at.unmatched) == []
+
+
+def test_a_line_that_repeats_is_one_row_of_state(spark, at):
+    h, d = topics(spark, at)
+    h.send([header(9)])
+    for hour in (1, 2, 3):
+        d.send([line(11, 1), line(12, 1)] + [line(11, 1)] * 3, at=f"2024-01-01 0{hour}:00:00")
+        orders_of(spark, at, h, d)
+    assert state_rows(spark, at).count() == 2
+    h.send([header(1)], at="2024-01-01 04:00:00")
+    orders_of(spark, at, h, d)
+    assert wide(spark, at) == [(1, 11, None), (1, 12, None)]
+
+
+def test_the_last_line_renews_its_order(spark, at):
+    """Lines at hours 0 and 20, the header at hour 40: all meet; at hour 45 none would."""
+    h, d = topics(spark, at)
+    d.send([line(11, 1), line(21, 2)])
+    h.send([header(9)])
+    orders_of(spark, at, h, d, replay=True)
+    d.send([line(12, 1), line(22, 2)], at="2024-01-01 20:00:00")
+    orders_of(spark, at, h, d, replay=True)
+    h.send([header(1)], at="2024-01-02 16:00:00")
+    orders_of(spark, at, h, d, replay=True)
+    h.send([header(2)], at="2024-01-02 21:00:00")
+    orders_of(spark, at, h, d, replay=True)
+    assert wide(spark, at) == [(1, 11, None), (1, 12, None)]
+
+
+def left(spark, at):
+    return sorted((r.topic, r.key, json.loads(r.value)["id"]) for r in message_files(spark, at.unmatched).collect())
+
+
+def test_what_waited_in_vain_comes_out_once(spark, at):
+    h, d = topics(spark, at)
+    h.send([header(1), header(2), header(2)])
+    d.send([line(21, 2), line(31, 3), line(31, 3), line(32, 3)])
+    orders_of(spark, at, h, d, replay=True)
+    for day in (3, 4, 5):
+        h.send([header(100 + day)], at=f"2024-01-0{day} 00:00:00")
+        d.send([line(1000 + day, 100 + day)], at=f"2024-01-0{day} 00:00:00")
+        orders_of(spark, at, h, d, replay=True)
+    want = [("UNMATCHED_ORDER_DETAIL", "3", 31), ("UNMATCHED_ORDER_DETAIL", "3", 32), ("UNMATCHED_ORDER_INFO", "1", 1)]
+    assert left(spark, at) == want
+    # its life over, an order begins anew
+    h.send([header(3)], at="2024-01-06 00:00:00")
+    orders_of(spark, at, h, d, replay=True)
+    assert (3, 31, None) not in wide(spark, at)
+
+
+def test_partners_that_arrived_too_far_apart(spark, at):
+    h, d = topics(spark, at)
+    h.send([header(1), header(2)])
+    d.send([line(11, 1)], at="2024-01-01 23:59:59")
+    d.send([line(21, 2)], at="2024-01-02 00:00:01")
+    orders_of(spark, at, h, d, apart="24 hours")
+    assert wide(spark, at) == [(1, 11, None)]
+
+
+# --- closed days ---
+
+KIND = "dt string, k int, n int, v string"
+
+
+@pytest.fixture
+def table(spark):
+    schema = spark.createDataFrame([], KIND).schema
+    return DayTable(shared_folder(spark) + "/t", schema, ["dt", "k"], ["n"])
+
+
+def put(spark, table, batch, *rows):
+    write_batch(spark.createDataFrame(list(rows), KIND), batch, table.path, "dt")
+
+
+def held(spark, table):
+    return sorted((r.dt, r.k, r.v) for r in table.current(spark).collect())
+
+
+def test_days_are_closed_beside_the_job(spark, table, monkeypatch):
+    put(spark, table, "q-0", ("d1", 1, 0, "old"), ("d2", 2, 0, "kept"))
+    put(spark, table, "q-1", ("d1", 1, 1, "new"), ("d1", 3, 1, "more"))
+    before = held(spark, table)
+    assert before == [("d1", 1, "new"), ("d1", 3, "more"), ("d2", 2, "kept")]
+
+    # a crash between the rows and their list
+    with monkeypatch.context() as broken:
+        write = DayTable._write
+        broken.setattr(DayTable, "_write", staticmethod(lambda rows, path: write(rows, path) if path == table.closed else 1 / 0))
+        with pytest.raises(ZeroDivisionError):
+            table.close(spark, "d2")
+    assert held(spark, table) == before and subfolders(spark, table.closed) == ["dt=d1"]
+
+    table.close(spark, "d2")
+    assert held(spark, table) == before
+    closed = spark.read.parquet(table.closed).collect()
+    assert sorted((r.dt, r.k, r.v, r.version) for r in closed) == [("d1", 1, "new", 1), ("d1", 3, "more", 1)]
+    # nothing new: nothing is written
+    table.close(spark, "d2")
+    assert subfolders(spark, f"{table.closed}/dt=d1") == ["version=1"]
+
+    # a late batch, one that is repeated, and a day that is still open
+    put(spark, table, "q-2", ("d1", 3, 2, "late"), ("d2", 2, 2, "next"))
+    put(spark, table, "q-1", ("d1", 1, 1, "new"), ("d1", 3, 1, "more"))
+    after = [("d1", 1, "new"), ("d1", 3, "late"), ("d2", 2, "next")]
+    assert held(spark, table) == after
+    table.close(spark, "d2")
+    assert held(spark, table) == after
+    assert table._rows(spark, table._open(spark, None), table._lists(spark, None), None).where("dt = 'd1'").count() == 2
+
+    table.tidy(spark)
+    assert held(spark, table) == after
+    assert subfolders(spark, f"{table.path}/dt=d1") == [] and len(subfolders(spark, f"{table.path}/dt=d2")) == 2
+    assert subfolders(spark, f"{table.closed}/dt=d1") == subfolders(spark, f"{table.lists}/dt=d1") == ["version=2"]
+    put(spark, table, "q-3", ("d1", 9, 0, "later still"))
+    table.close(spark, "d3")
+    table.tidy(spark)
+    assert held(spark, table) == sorted([*after, ("d1", 9, "later still")])
+
+
+def test_a_crash_while_tidying(spark, table, monkeypatch):
+    """At whichever folder it stops, each key shows once, and the next run goes on."""
+    for i in range(3):
+        put(spark, table, f"q-{i}", ("d1", i, i, "a"), ("d1", 9, i, f"v{i}"))
+        table.close(spark, "d2")
+    want = held(spark, table)
+    assert want == [("d1", 0, "a"), ("d1", 1, "a"), ("d1", 2, "a"), ("d1", 9, "v2")]
+    remove = days_module.remove_folder
+    for steps in range(8):
+        left = [steps]
+
+        def some(spark_, path):
+            if not left[0]:
+                raise InterruptedError
+            left[0] -= 1
+            remove(spark_, path)
+
+        with monkeypatch.context() as m:
+            m.setattr(days_module, "remove_folder", some)
+            try:
+                table.tidy(spark)
+            except InterruptedError:
+                pass
+        assert held(spark, table) == want
+    assert subfolders(spark, f"{table.path}/dt=d1") == []
+
+
+def test_an_empty_table_is_closed(spark, table):
+    table.close(spark, "d9")
+    table.tidy(spark)
+    assert held(spark, table) == []
+
+
+def test_both_wide_tables_are_closed_by_the_entry_point(spark, at):
+    pages = Topic(spark, at.root + "/pages")
+    pages.send([{"mid": "a", "ts": DAY_1}, {"mid": "a", "ts": DAY_1 + 24 * HOUR}])
+    actives(spark, at, pages)
+    h, d = topics(spark, at)
+    h.send([header(1)])
+    d.send([line(11, 1)])
+    orders_of(spark, at, h, d)
+    want = sorted(map(str, jobs.dau_rows(spark, at).collect())), wide(spark, at)
+    main.close_days(spark, at, "2024-01-02", tidy=True)
+    assert (sorted(map(str, jobs.dau_rows(spark, at).collect())), wide(spark, at)) == want
+    assert subfolders(spark, at.dau_info) == ["dt=2024-01-01", "dt=2024-01-02"]
+    assert subfolders(spark, at.dau_info + "/dt=2024-01-01") == []
+    # a device of a closed day is known
+    pages.send([{"mid": "a", "ts": DAY_1}, {"mid": "n", "ts": DAY_1}])
+    actives(spark, Fresh(at.root), pages, seen="table")
+    assert [(r.dt, r.mid) for r in jobs.dau_rows(spark, at).orderBy("dt", "mid").collect()] == [
+        ("2024-01-01", "a"), ("2024-01-01", "n"), ("2024-01-02", "a"),
+    ]
+
+
+# --- positions ---
+
+
+def test_positions_of_a_stopped_job_are_read_back(spark, at):
+    listener = positions.StoredPositions(spark, at.positions)
+    spark.streams.addListener(listener)
+    try:
+        rows = [("PAGES", p, 100 * p + i, dt.datetime(2024, 1, 1), None, json.dumps({"mid": f"m{i}", "ts": DAY_1})) for p in (0, 2, 63) for i in range(5)]
+        for part in (rows[:7], rows[7:]):
+            spark.createDataFrame(part, MESSAGE).coalesce(1).write.mode("append").parquet(at.root + "/pages")
+        finish(jobs.daily_actives(message_stream(spark, at.root + "/pages", 1), at, AS_OF, trigger=NOW))
+        h, d = topics(spark, at)
+        h.send([header(1), "broken"], topic="HEADERS")
+        d.send([line(11, 1)], topic="LINES")
+        finish(jobs.widen_orders(message_stream(spark, h.path), message_stream(spark, d.path), at, AS_OF, trigger=NOW))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        seen = positions.stored_positions(spark, at.positions, "daily_actives")
+        want = {r.partition: r.end_offset for r in end_offsets(message_files(spark, at.root + "/pages")).collect()}
+        assert seen == {"PAGES": want} == {"PAGES": {0: 5, 2: 205, 63: 6305}}
+        assert positions.stored_positions(spark, at.positions, "widen_orders") == {"HEADERS": {0: 2}, "LINES": {0: 1}}
+        assert main.first_positions(spark, at, "daily_actives", "stored") == seen
+        assert main.first_positions(spark, at, "split_logs", "stored") is None
+        assert main.first_positions(spark, at, "daily_actives", '{"PAGES": {"0": 1}}') == {"PAGES": {"0": 1}}
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def test_a_partition_beyond_those_observed_is_an_error(spark):
+    messages = spark.createDataFrame([("t", 64, 0, dt.datetime(2024, 1, 1), None, "{}")], MESSAGE)
+    with pytest.raises(Exception, match="more than 64 partitions"):
+        positions.observed(messages).collect()
