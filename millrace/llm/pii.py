@@ -37,7 +37,7 @@ TERM = re.compile(r"\w+")
 NEAR = 8
 # Documents in which a term must be near an entity, and the share of the entity's
 # information from which it is disclosed.
-SUPPORT, SHARE = 3, 2 / 3
+SUPPORT, SHARE = 2, 2 / 3
 # Leading letters that name the class of a longer word.
 STEM = 3
 # Different terms that a task counts at once before it hands on what it has.
