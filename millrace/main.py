@@ -43,7 +43,7 @@ def start(
 ) -> list:
     """Starts a job's queries. ``positions`` maps topic to partition to first offset.
 
-    ``how`` goes to the two jobs of wide tables.
+    ``how`` goes to the two jobs of wide tables, and is theirs to know.
     """
 
     def read(topic: str, folder: str) -> DataFrame:
@@ -103,8 +103,8 @@ def main() -> None:
     parser.add_argument("--start", help='first offsets, as {"topic": {"0": 12}}, or "stored"')
     parser.add_argument("--on-delete", choices=("keep", "drop"), default="keep", help="deleted dimension rows")
     parser.add_argument("--buckets", type=int, help="buckets of a dimension table; by its bytes unless given")
-    parser.add_argument("--renew", action="store_true", help="a device's later pages make it last longer")
     parser.add_argument("--waiting", choices=("join", "sets"), default="join", help="how lines wait for their order")
+    parser.add_argument("--unmatched", action="store_true", help="tell orders and lines that found no partner")
     parser.add_argument("--before", help="days before this one are closed")
     parser.add_argument("--tidy", action="store_true", help="remove the batches of closed days")
     args = parser.parse_args()
@@ -115,7 +115,7 @@ def main() -> None:
         return
     at = jobs.Warehouse(args.root, args.buckets or buckets_for(spark, at.dimensions))
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
-    how = {"daily_actives": {"renew": args.renew}, "widen_orders": {"waiting": args.waiting}}.get(args.job, {})
+    how = {"waiting": args.waiting, "unmatched": args.unmatched} if args.job == "widen_orders" else {}
     positions = first_positions(spark, at, args.job, args.start)
     spark.streams.addListener(StoredPositions(spark, at.positions))
     wait(spark, start(spark, args.job, at, args.servers, trigger, positions, args.on_delete, **how))

@@ -225,7 +225,7 @@ UNMATCHED = f"""
   FROM ({HEADERS}) h WHERE NOT EXISTS (FROM ({LINES}) l WHERE l.order_id = h.id AND {NEAR})
   UNION ALL
   SELECT 'UNMATCHED_ORDER_DETAIL', l.order_id, l.id, l.sku_id, l.order_price, epoch_ms({LINE_AT})
-  FROM (SELECT DISTINCT * FROM ({LINES})) l WHERE NOT EXISTS (FROM ({HEADERS}) h WHERE l.order_id = h.id AND {NEAR})
+  FROM ({LINES}) l WHERE NOT EXISTS (FROM ({HEADERS}) h WHERE l.order_id = h.id AND {NEAR})
 """
 
 ORACLE = {
@@ -342,6 +342,5 @@ ORACLE = {
     "stream_dau": DAU_WIDE,
     "stream_dau_state": _dau_wide(FIRST_ARRIVED),
     "stream_orders": STREAM_ORDERS,
-    "stream_order_sets": STREAM_ORDERS,
     "stream_unmatched": UNMATCHED,
 }

@@ -10,6 +10,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType, TimestampType
 
 from millrace.functions.parse import json_text
 from millrace.operators import cdc, dau, log_split, orders
@@ -19,10 +20,10 @@ from millrace.sinks.batches import batch_name, write_batch
 from millrace.sinks.current import BUCKETS, read_current, write_current
 from millrace.sinks.days import DayTable
 from millrace.sinks.routes import as_messages, batch_to_kafka, route_to_files, route_to_kafka
-from millrace.sources.tables import table_list
-from millrace.streaming.joins import stream_pairs
+from millrace.sources.tables import read_or_empty, table_list
+from millrace.streaming.joins import fresh_of_day, stream_first_of_day, stream_pairs
 from millrace.streaming.positions import observed
-from millrace.streaming.state import ONLY_HEADER, ONLY_LINE, PAIR, first_to_arrive, order_sets
+from millrace.streaming.state import ONLY_HEADER, ONLY_LINE, PAIR, order_sets
 
 Trigger = Mapping[str, object]
 EVERY_5_SECONDS: Trigger = {"processingTime": "5 seconds"}
@@ -31,8 +32,7 @@ ARRIVAL = cdc.ARRIVAL
 # Order of the versions of a wide row; of two that arrived together the content decides,
 # so that every run keeps the same one.
 WIDE_ARRIVAL = ["header_at", "line_at"]
-# Days whose devices a new checkpoint knows; days of a batch that are read one by one.
-RESTORED_DAYS = 2
+# Days of a batch that are read one by one.
 UNMATCHED_HEADERS, UNMATCHED_LINES = "UNMATCHED_ORDER_INFO", "UNMATCHED_ORDER_DETAIL"
 MANY_DAYS = 1_000
 WIDE_ORDER = [*WIDE_ARRIVAL, "order_price", "sku_num", "split_total_amount", "split_activity_amount", "split_coupon_amount"]
@@ -111,8 +111,8 @@ def _start(writer: DataStreamWriter, name: str, trigger: Trigger) -> StreamingQu
     return writer.queryName(name).trigger(**trigger).start()
 
 
-def _each_batch(stream: DataFrame, work, checkpoint: str) -> DataStreamWriter:
-    return stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint)
+def _each_batch(stream: DataFrame, work, checkpoint: str, mode: str = "append") -> DataStreamWriter:
+    return stream.writeStream.foreachBatch(work).outputMode(mode).option("checkpointLocation", checkpoint)
 
 
 # --- current state of the tables ---
@@ -215,33 +215,38 @@ def daily_actives(
     at: Warehouse,
     as_of: date | Column | None = None,
     seen: str = "state",
-    restore: int | None = RESTORED_DAYS,
+    restore: bool = True,
     on_delete: str = "keep",
     trigger: Trigger = EVERY_5_SECONDS,
     lifetime: str = "24 hours",
-    renew: bool = False,
-    replay: bool = False,
+    clock: Column | None = None,
 ) -> list[StreamingQuery]:
     """Page messages to the daily-active table, the first to arrive of each device and day.
 
     ``seen="state"`` keeps the devices of a day in the state store for ``lifetime`` after
-    they are first read, or last read with ``renew``; a batch costs its own rows. A new
-    checkpoint starts with the devices of the last ``restore`` days that the table holds,
-    all of them if that is null. Should a device come back when its state is gone,
-    ``dau_rows`` gives its first row. ``replay`` lets arrivals tell time, not the clock.
-    ``seen="table"`` asks the table in each batch, and needs no state; of the table only
-    the days of the batch are listed and read.
+    they were last read, twice that at most; a batch costs its own rows. The state of a
+    new checkpoint is not whole before that time has passed: with ``restore`` its batches
+    are compared with the table until then, as a start over an older table must. Should a
+    device come back when its state is gone, ``dau_rows`` gives its first row.
+    ``seen="table"`` asks the table in each batch, and needs no state. Of the table only
+    the days of a batch are listed and read.
 
     Of the rows of one batch that with the smallest time of arrival, partition and offset
     is the first. Messages that can't be used go with the same read to a rejected folder.
-    They pass the state as days of their own, one for each partition and offset.
+    They pass the state as days of their own, one for each partition and offset. ``clock``
+    tells time for the state, one moment for each batch.
     """
     if seen not in ("table", "state"):
         raise ValueError(f"seen must be table or state, not {seen!r}")
-    spark = messages.sparkSession
-
-    def widen(firsts: DataFrame, name: str) -> None:
-        fresh = firsts.persist()
+    entries = dau.entries_or_rejected(dau.parse_pages(observed(messages)))
+    columns = entries.columns
+
+    def widen(firsts: DataFrame, name: str, compare: bool) -> None:
+        fresh = firsts
+        if compare:
+            stored = at.dau_days.rows(firsts.sparkSession, _days(firsts), without=name)
+            fresh = dau.not_yet_stored(firsts, stored)
+        fresh = fresh.persist()
         try:
             if fresh.isEmpty():
                 return
@@ -253,34 +258,43 @@ def daily_actives(
             fresh.unpersist()
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        name = batch_name(batch.sparkSession, batch_id)
-        rows = batch.persist()
+        spark = batch.sparkSession
+        name = batch_name(spark, batch_id)
+        batch = batch.persist()
         try:
+            rows = batch if seen == "table" else fresh_of_day(batch, columns, lifetime)
             write_rejected(rows.where("rejected"), name, at, "daily_actives")
             firsts = rows.where("NOT rejected")
             if seen == "table":
                 firsts = dau.first_of_day(firsts, ARRIVAL)
-                stored = at.dau_days.rows(batch.sparkSession, _days(firsts), without=name)
-                firsts = dau.not_yet_stored(firsts, stored)
-            widen(firsts, name)
+            widen(firsts, name, seen == "table" or (restore and _restoring(spark, at, batch, name, lifetime)))
         finally:
-            rows.unpersist()
+            batch.unpersist()
 
     name = "daily_actives"
-    source = dau.entries_or_rejected(dau.parse_pages(observed(messages)))
-    if seen == "state":
-        arrival = F.col("timestamp") if replay else None
-        source = first_to_arrive(source, dau.KEY, ARRIVAL, _restored(spark, at, restore), lifetime, renew, arrival)
-    return [_start(_each_batch(source, work, at.checkpoint(name)), name, trigger)]
+    if seen == "table":
+        writer = _each_batch(entries, work, at.checkpoint(name))
+    else:
+        writer = _each_batch(stream_first_of_day(entries, ARRIVAL, lifetime, clock), work, at.checkpoint(name), "update")
+    return [_start(writer, name, trigger)]
 
 
-def _restored(spark: SparkSession, at: Warehouse, days: int | None) -> DataFrame:
-    """The devices of the last days in the table. Read by a stream's first batch alone."""
-    stored = at.dau_days.rows(spark).select(*dau.KEY)
-    if days is not None:
-        last = stored.select("dt").distinct().orderBy(F.col("dt").desc()).limit(days)
-        stored = stored.join(last, "dt", "left_semi")
-    return stored.distinct()
+def _restoring(spark: SparkSession, at: Warehouse, batch: DataFrame, name: str, lifetime: str) -> bool:
+    """Whether the state of a query is younger than what it should remember.
+
+    The moment until which it is, is written with the query's first batch that has rows,
+    under the query's own id. A repeat of that batch finds it and is compared as well.
+    """
+    now = batch.agg(F.max("last_read")).first()[0]
+    if now is None:
+        return False
+    path = f"{at.root}/restored/{name.rpartition('-')[0]}"
+    born = read_or_empty(spark, path, StructType().add("until", TimestampType())).first()
+    if born is None:
+        until = spark.range(1).select((F.lit(now) + F.expr(f"interval {lifetime}")).alias("until"))
+        until.coalesce(1).write.mode("overwrite").parquet(path)
+        return True
+    return now <= born["until"]
 
 
 def _days(firsts: DataFrame) -> list[str] | None:
@@ -299,17 +313,19 @@ def widen_orders(
     on_delete: str = "keep",
     trigger: Trigger = EVERY_5_SECONDS,
     waiting: str = "join",
+    unmatched: bool = False,
     apart: str | None = None,
     replay: bool = False,
 ) -> list[StreamingQuery]:
     """Header and line messages to the order wide table, by line and day.
 
     ``waiting="join"`` joins the streams: partners that arrive up to ``lifetime`` apart
-    meet, and each row waits on its own. ``waiting="sets"`` keeps the lines of an order
-    as a set that lives for ``lifetime`` after its last line; what waits in vain goes to
-    the unmatched folder when its life ends and something later has been read. There
-    ``apart`` limits how far apart partners may have arrived, and ``replay`` lets
-    arrivals tell time, not the clock.
+    meet, and each row waits on its own. ``unmatched`` makes that a full outer join: what
+    waits in vain goes to the unmatched folder when its life ends and something later has
+    been read. ``waiting="sets"`` keeps the lines of an order as a set that lives for
+    ``lifetime`` after its last line, and always tells what was unmatched; ``apart`` limits
+    there how far apart partners may have arrived. ``replay`` lets arrivals tell time, not
+    the clock.
     """
     if waiting not in ("join", "sets"):
         raise ValueError(f"waiting must be join or sets, not {waiting!r}")
@@ -318,7 +334,7 @@ def widen_orders(
         name = batch_name(found.sparkSession, batch_id)
         found = found.persist()
         try:
-            if waiting == "sets":
+            if waiting == "sets" or unmatched:
                 write_batch(_unmatched(found), name, at.unmatched, "topic")
                 widen(found.where(F.col("kind") == PAIR).drop("kind"), name)
             else:
@@ -347,8 +363,11 @@ def widen_orders(
     lines = orders.lines_of(orders.parse_lines(observed(line_messages, 1)), arrival)
     if waiting == "sets":
         source = order_sets(headers, lines, lifetime, apart, replay)
+    elif unmatched:
+        kind = F.when(F.col("line").isNull(), ONLY_HEADER).when(F.col("header").isNull(), ONLY_LINE).otherwise(PAIR)
+        source = stream_pairs(headers, lines, lifetime, 1, "full_outer", replay).withColumn("kind", kind)
     else:
-        source = stream_pairs(headers, lines, lifetime, salts)
+        source = stream_pairs(headers, lines, lifetime, salts, replay=replay)
     columns = [*MESSAGE.fieldNames(), "rejected"]
     rejects = parsed_headers.select(*columns).unionByName(parsed_lines.select(*columns))
     name = "widen_orders"

@@ -83,30 +83,35 @@ def test_a_new_checkpoint_knows_the_table_beyond_its_first_batch(spark, at, seen
     assert stored(spark, at) == want
 
 
-def test_only_the_last_days_are_known_to_a_new_checkpoint(spark, at):
+def test_the_table_is_asked_until_the_state_is_whole(spark, at, monkeypatch):
+    """For a lifetime after the first batch of a checkpoint, and not after that."""
+    asked = []
+    anti = dau.not_yet_stored
+    monkeypatch.setattr(dau, "not_yet_stored", lambda firsts, stored: asked.append(1) or anti(firsts, stored))
     pages = Topic(spark, at.root + "/pages")
-    pages.send([{"mid": "a", "ts": DAY_1 + d * 24 * HOUR} for d in range(4)])
-    actives(spark, at, pages)
-    restored = sorted(r.dt for r in jobs._restored(spark, at, 2).collect())
-    assert restored == ["2024-01-03", "2024-01-04"]
-    assert jobs._restored(spark, at, None).count() == 4
-    assert jobs._restored(spark, at, 0).count() == 0
-
-
-@pytest.mark.parametrize(("renew", "times"), [(True, 1), (False, 2)])
-def test_a_device_seen_again_lasts_longer(spark, at, renew, times):
-    """One day's pages that arrive at hours 0, 20 and 40, and past the last life's end."""
+    for day, hour in ((1, 0), (1, 23), (2, 1)):
+        pages.send([{"mid": f"m{hour}", "ts": DAY_1}], at=f"2024-01-0{day} {hour:02}:00:00")
+        actives(spark, at, pages, clock=F.col("timestamp"))
+    assert len(asked) == 2 and len(stored(spark, at)) == 3
+    pages.send([{"mid": "m0", "ts": DAY_1}, {"mid": "new", "ts": DAY_1}], at="2024-01-02 02:00:00")
+    actives(spark, at, pages, clock=F.col("timestamp"), restore=False)
+    assert len(asked) == 2
+
+
+def test_a_device_seen_again_lasts_longer(spark, at):
+    """One day's pages that arrive at hours 0, 20, 40 and 60 are one device; long after
+    its last page it is stored anew, and reading gives its first row."""
     pages = Topic(spark, at.root + "/pages")
-    for hour in (0, 20, 40):
+    for hour in (0, 20, 40, 60):
         moment = dt.datetime(2024, 1, 1) + dt.timedelta(hours=hour)
         pages.send([{"mid": "a", "ts": DAY_1 + 1}, {"mid": f"other{hour}", "ts": DAY_1}], at=moment.isoformat())
-        actives(spark, at, pages, renew=renew, replay=True)
-    assert [mid for _, mid in stored(spark, at)].count("a") == times
-    assert [r.mid for r in jobs.dau_rows(spark, at).where("mid = 'a'").collect()] == ["a"]
-    pages.send([{"mid": "b", "ts": DAY_1}], at="2024-01-10 00:00:00")
-    pages.send([{"mid": "a", "ts": DAY_1}], at="2024-01-10 00:00:01")
-    actives(spark, at, pages, renew=renew, replay=True, files=1)
-    assert [mid for _, mid in stored(spark, at)].count("a") == times + 1
+        actives(spark, at, pages, clock=F.col("timestamp"), restore=False)
+    assert [mid for _, mid in stored(spark, at)] == ["a", "other0", "other20", "other40", "other60"]
+    for day in (10, 11):
+        pages.send([{"mid": "b" if day == 10 else "a", "ts": DAY_1}], at=f"2024-01-{day} 00:00:00")
+        actives(spark, at, pages, clock=F.col("timestamp"), restore=False)
+    assert [mid for _, mid in stored(spark, at)].count("a") == 2
+    assert [r.ts for r in jobs.dau_rows(spark, at).where("mid = 'a'").collect()] == [DAY_1]
 
 
 def test_asking_the_table_reads_the_days_of_the_batch(spark, at):
@@ -219,6 +224,21 @@ def test_what_waited_in_vain_comes_out_once(spark, at):
     assert (3, 31, None) not in wide(spark, at)
 
 
+def test_a_join_tells_what_was_unmatched(spark, at):
+    h, d = topics(spark, at)
+    h.send([header(1), header(2)])
+    d.send([line(21, 2), line(31, 3), line(32, 3)])
+    d.send([line(22, 2)], at="2024-01-01 20:00:00")
+    for day in (3, 4, 5):
+        h.send([header(100 + day)], at=f"2024-01-0{day} 00:00:00")
+        d.send([line(1000 + day, 100 + day)], at=f"2024-01-0{day} 00:00:00")
+    streams = message_stream(spark, h.path), message_stream(spark, d.path)
+    finish(jobs.widen_orders(*streams, at, AS_OF, trigger=NOW, unmatched=True, replay=True))
+    want = [("UNMATCHED_ORDER_DETAIL", "3", 31), ("UNMATCHED_ORDER_DETAIL", "3", 32), ("UNMATCHED_ORDER_INFO", "1", 1)]
+    assert left(spark, at) == want
+    assert [r[:2] for r in wide(spark, at)] == [(2, 21), (2, 22), (103, 1003), (104, 1004), (105, 1005)]
+
+
 def test_partners_that_arrived_too_far_apart(spark, at):
     h, d = topics(spark, at)
     h.send([header(1), header(2)])
