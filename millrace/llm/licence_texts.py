@@ -116,6 +116,53 @@ def full_texts() -> list[tuple[str, str]]:
     return [("BSD-3-Clause", BSD_3), *[(f.name.removesuffix(".txt"), f.read_text()) for f in files]]
 
 
+# Titles under which the short texts are published.
+TITLES = {
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License", "FreeBSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License", "Modified BSD License", "BSD License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"],
+}
+# Lines with which the terms end, or with which begins what follows them.
+END_OF_TERMS = ("END OF TERMS AND CONDITIONS", "The End")
+APPENDICES = (
+    "Appendix: How to Apply These Terms",
+    "How to Apply These Terms",
+    "ADDENDUM: How to use this License",
+    "Exhibit A - Source Code Form License Notice",
+    "EXHIBIT A -Mozilla Public License",
+)
+
+
+def without_appendix(text: str) -> list[str]:
+    """The text up to the end of its terms, with and without the line that says so."""
+    lines = text.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if line.strip() in END_OF_TERMS:
+            out += ["\n".join(lines[: i + 1]), "\n".join(lines[:i])]
+        elif line.strip().startswith(APPENDICES):
+            out.append("\n".join(lines[:i]))
+    return out
+
+
+def forms(license_id: str, text: str) -> list[str]:
+    """The text in the forms it is usually found in: whole, without title, under other
+    titles, and without appendix."""
+    out = [text]
+    if titles := TITLES.get(license_id):
+        first, _, rest = text.strip().partition("\n")
+        body = rest if first.strip() in titles else text
+        out += [body, *(f"{title}\n\n{body}" for title in titles)]
+    return list(dict.fromkeys([*out, *(cut for t in out for cut in without_appendix(t))]))
+
+
+def known_forms() -> list[tuple[str, str]]:
+    """(license_id, text) of all known licences in all forms."""
+    return [(i, form) for i, text in [*LICENCES, *full_texts()] for form in forms(i, text)]
+
+
 # Lines by which a document names its licence.
 NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),

@@ -7,12 +7,13 @@ exactly if their canonical forms are equal.
 """
 
 import re
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.common import free_name, replaced, without
-from millrace.llm.licence_texts import LICENCES, MORE_NOTICES, NOTICES, SPELLINGS, full_texts
+from millrace.llm.licence_texts import MORE_NOTICES, NOTICES, SPELLINGS, known_forms
 
 # Lines that name a holder, not a condition. Java's and RE2's syntax alike.
 COPYRIGHT_LINE = (
@@ -56,11 +57,17 @@ def without_holders(text: Column) -> Column:
     return F.regexp_replace(lowered(text), HOLDER_LINE, "\n")
 
 
+def _python(pattern: str) -> str:
+    return re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), pattern)
+
+
+def lowered_of(text: str) -> str:
+    return text.translate(str.maketrans(UPPER, LOWER)).replace("\r\n", "\n").replace("\r", "\n")
+
+
 def canonical_of(text: str) -> str:
     """The canonical form of a constant, without Spark."""
-    copyright_line, between = (re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), r) for r in (COPYRIGHT_LINE, BETWEEN_WORDS))
-    out = text.translate(str.maketrans(UPPER, LOWER)).replace("\r\n", "\n").replace("\r", "\n")
-    out = re.sub(between, " ", re.sub(copyright_line, "\n", out)).strip(" ")
+    out = re.sub(_python(BETWEEN_WORDS), " ", re.sub(_python(COPYRIGHT_LINE), "\n", lowered_of(text))).strip(" ")
     for a, b in SPELLINGS:
         out = out.replace(a, b)
     return out
@@ -70,21 +77,27 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
 
-def table(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
-    """(license_id, text), as a relation of the plan."""
-    each = [F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in rows]
-    return spark.range(1).select(F.inline(F.array(*each)))
+def digested(known: DataFrame) -> DataFrame:
+    """(license_id, whole, bare): digests of texts, and of texts without holder lines."""
+    forms = [F.nullif(canonical(t), F.lit("")) for t in (F.col("text"), without_holders(F.col("text")))]
+    return known.select("license_id", *[F.sha2(f.cast("binary"), 256).alias(n) for f, n in zip(forms, ("whole", "bare"), strict=True)])
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
-    return table(spark, [*LICENCES, *full_texts()])
+    """The digests of all known licences, worked out here: the plan holds no texts."""
+    rows = []
+    for i, text in known_forms():
+        forms = canonical_of(text), canonical_of(re.sub(HOLDER_LINE, "\n", lowered_of(text)))
+        rows.append((i, *(sha256(f.encode()).hexdigest() for f in forms)))
+    each = [F.struct(*[F.lit(x).alias(n) for x, n in zip(r, ("license_id", "whole", "bare"), strict=True)]) for r in dict.fromkeys(rows)]
+    return spark.range(1).select(F.inline(F.array(*each)))
 
 
 def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
     """All rows and columns of ``docs``, with ``digest`` and ``license_id``.
 
-    ``known``: license_id and text; Spark broadcasts their digests if its size check
-    allows, else both sides shuffle by digest. A text that isn't known by its digest is
+    ``known``: license_id and text, or the digests of digested(); Spark broadcasts them if
+    its size check allows, else both sides shuffle by digest. A text that isn't known by its digest is
     looked up without the lines that name a holder. ``license_id`` is null where nothing
     matches; of several licences with one canonical form the smallest id is given.
     A text that is null, empty or without words has the digest of the empty text
@@ -92,17 +105,21 @@ def scan(docs: DataFrame, known: DataFrame, text: str = "text") -> DataFrame:
     are replaced.
     """
 
-    def by(form: Column, name: str, found: str) -> DataFrame:
-        forms = known.select(form.alias("form"), "license_id").where(F.col("form") != "")
-        return forms.groupBy(F.sha2(F.col("form").cast("binary"), 256).alias(name)).agg(F.min("license_id").alias(found))
+    digests = digested(known) if "text" in known.columns else known
+
+    def by(form: str, name: str, found: str) -> DataFrame:
+        forms = digests.where(F.col(form).isNotNull()).select(F.col(form).alias(name), "license_id")
+        return forms.groupBy(name).agg(F.min("license_id").alias(found))
 
-    bare = without_holders(F.col(text))
-    other = F.when(bare != lowered(F.col(text)), digest(bare))
+    # only a text with one of these can have a line that names a holder
+    own = lowered(F.col(text))
+    bare = F.when(own.contains("copyright") | own.contains("(c)"), without_holders(F.col(text)))
+    other = F.when(bare != own, digest(bare))
     other_digest, other_id = (free_name(x, docs.columns) for x in ("bare", "other"))
     rows = without(docs, ["digest", "license_id"])
     looked = rows.select(digest(F.col(text)).alias("digest"), "*", other.alias(other_digest))
-    whole = by(canonical(F.col("text")), "digest", "license_id")
-    stripped = by(canonical(without_holders(F.col("text"))), other_digest, other_id)
+    whole = by("whole", "digest", "license_id")
+    stripped = by("bare", other_digest, other_id)
     met = looked.join(whole, "digest", "left").join(stripped, other_digest, "left")
     return met.withColumn("license_id", F.coalesce("license_id", other_id)).drop(other_digest, other_id)
 

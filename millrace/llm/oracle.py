@@ -1,7 +1,9 @@
 """DuckDB SQL of the queries that SQL can express."""
 
-from millrace.llm.licence_texts import LICENCES, NOTICES, SPELLINGS
-from millrace.llm.licences import BETWEEN_WORDS, COPYRIGHT_LINE, LOWER, UPPER
+from hashlib import sha256
+
+from millrace.llm.licence_texts import MORE_NOTICES, NOTICES, SPELLINGS, known_forms
+from millrace.llm.licences import BETWEEN_WORDS, COPYRIGHT_LINE, LOWER, UPPER, canonical_of
 from millrace.llm.mixing import MOST_TIMES, WEIGHTS
 from millrace.llm.queries import SHARDS, SLOTS
 from millrace.llm.warc import ALPHABET
@@ -20,22 +22,22 @@ def _canonical(text: str) -> str:
     return out
 
 
-def _rows(pairs: list[tuple[str, str]]) -> str:
-    return ", ".join(f"({_text(i)}, {_text(t)})" for i, t in pairs)
+def _digests(pairs: list[tuple[str, str]]) -> str:
+    """Ids and digests of texts, worked out in plain Python."""
+    return ", ".join(f"({_text(i)}, '{sha256(canonical_of(t).encode()).hexdigest()}')" for i, t in pairs)
 
 
 _LINES = "string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10))"
 
 LICENSES = f"""
 WITH known AS (
-  SELECT sha256({_canonical("t")}) AS digest, min(i) AS license_id
-  FROM (VALUES {_rows(LICENCES)}) v(i, t) GROUP BY 1
+  SELECT digest, min(i) AS license_id FROM (VALUES {_digests(known_forms())}) v(i, digest) GROUP BY 1
 ), notice AS (
-  SELECT i, sha256({_canonical("t")}) AS digest FROM (VALUES {_rows(NOTICES)}) v(i, t)
+  SELECT * FROM (VALUES {_digests([*NOTICES, *MORE_NOTICES])}) v(i, digest)
 ), docs AS (
   SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents
 ), line AS (
-  SELECT r, unnest({_LINES}) AS l FROM docs WHERE regexp_matches(text, '(?i)licen[cs]|copyright|cc by')
+  SELECT r, unnest({_LINES}) AS l FROM docs
 ), named AS (
   SELECT r, string_agg(DISTINCT i, ',' ORDER BY i) AS notices
   FROM line JOIN notice ON notice.digest = sha256({_canonical("l")}) GROUP BY 1

@@ -1,10 +1,10 @@
 from pyspark.sql import functions as F
 
-from millrace.llm import licences, mixing, sharding
+from millrace.llm import licence_texts, licences, mixing, sharding
 
 
 def test_licences_match_across_spellings(llm):
-    mit = licences.LICENCES[-1][1]
+    mit = licence_texts.LICENCES[-1][1]
     other = "Copyright (c) 2020 Someone\n© 2021 Another\n" + mit.upper().replace("LICENSE", "LICENCE").replace(" ", "  ").replace('"', "“").replace("\n", "\r\n")
     rows = [(1, mit), (1, mit), (2, other), (3, None), (4, ""), (5, "..."), (6, mit + "and more"), (7, "x " * 200_000), (None, mit.replace("copy,", "clone,"))]
     frame = llm.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS license_id", "1 AS form")
