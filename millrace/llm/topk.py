@@ -8,6 +8,8 @@ below and above. Reading stops when nobody but a few candidates can still reach
 k-th best lower bound; only their scores are then worked out.
 """
 
+from math import isqrt
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -24,6 +26,7 @@ AT_ONCE = 256
 DEPTHS = (0.5, 0.75, 0.85, 0.92, 0.96, 1.0)
 # Whole numbers up to here, and their sums, are exact in a double.
 EXACT = 2**53
+LEAST, MOST = -(2**63), 2**63 - 1
 
 
 class Lists:
@@ -68,19 +71,70 @@ class Lists:
         return [live[column] for column in alive.T]
 
 
+class Shard:
+    """Candidates of a shard. Vectors with components so large that a sum of products might
+    not be exact in a double stand apart: their scores are worked out in Python integers."""
+
+    def __init__(self, rows: pa.Table):
+        self.x, self.names, self.times = matrix(rows["v"]), rows["id"].to_pylist(), rows["n"].to_pylist()
+        # nulls equal no id, and come last among ties
+        self.ids = np.array([LEAST if i is None else i for i in self.names])
+        self.last = np.array([i is None for i in self.names], bool)
+        self.most = isqrt(EXACT // max(1, self.x.shape[1]))
+        plain = self.plain(self.x)
+        self.small, self.large = plain.nonzero()[0], (~plain).nonzero()[0]
+        self.lists = Lists(self.ids[self.small], self.x[self.small]) if len(self.small) else None
+
+    def plain(self, vectors: np.ndarray) -> np.ndarray:
+        return (np.abs(vectors) <= self.most).all(axis=1)
+
+    def exact(self, query: np.ndarray, own: int, rows: np.ndarray) -> list[tuple[int, int]]:
+        """(row, score) of rows with other ids; a score beyond a long is the nearest long."""
+        q = list(map(int, query.tolist()))
+        sums = ((r, sum(a * int(b) for a, b in zip(q, self.x[r].tolist(), strict=True))) for r in rows.tolist() if self.ids[r] != own)
+        return [(r, min(max(s, LEAST), MOST)) for r, s in sums]
+
+    def best(self, queries: np.ndarray, own: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
+        """The (row, score) of each query's ``k`` first rows."""
+        plain = self.plain(queries)
+        found = self.lists.candidates(np.where(plain[:, None], queries, 0.0), own, k) if self.lists else [None] * len(queries)
+        out = []
+        for j, query in enumerate(queries):
+            if not plain[j]:
+                scored = self.exact(query, own[j], np.arange(len(self.x)))
+            else:
+                scored = self.exact(query, own[j], self.large)
+                if found[j] is not None:
+                    rows = self.small[found[j]]
+                    scores = self.x[rows] @ query
+                    first = np.lexsort((self.ids[rows], self.last[rows], -scores))[:k]
+                    scored += zip(rows[first].tolist(), map(int, scores[first].tolist()), strict=True)
+            scored.sort(key=lambda s: (-s[1], self.last[s[0]], self.ids[s[0]]))
+            out.append(scored[:k])
+        return out
+
+
 def quantised(vector: Column, scale: int) -> Column:
-    """floor(scale * x) of each component x as a double; null for vectors that take no part."""
-    return F.when(valid(vector), F.transform(vector, lambda x: F.floor(scale * x.cast("double"))))
+    """floor(scale * x) of each component x as a double, exactly; null for vectors that
+    take no part, and for those whose products pass a double's range."""
+
+    def floored(x: Column) -> Column:
+        y = scale * x.cast("double")
+        # from 2**53 on a double is a whole number, and a long may not hold it
+        return F.when(F.abs(y) < EXACT, F.floor(y).cast("double")).otherwise(y)
+
+    return F.when(valid(vector), F.transform(vector, floored))
 
 
 def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "vector", k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k rows of the largest inner product.
 
     Components are whole numbers; ``queries`` has the columns of ``rows``. Null and
-    empty vectors and those with null components take no part; rows of a query's id are
-    no candidates of it, and vectors of another dimension neither. Ties go to the smaller
-    id, null last. Repeated queries count once, repeated rows each. With fewer candidates
-    than k all are given. Scores beyond 2**53 are an error: they would not be exact.
+    empty vectors and those with null or non-finite components take no part; rows of a
+    query's id are no candidates of it, and vectors of another dimension neither. Ties go
+    to the smaller id, null last. Repeated queries count once, repeated rows each. With
+    fewer candidates than k all are given. Scores are exact for any components; one
+    beyond a long counts as the nearest long.
     """
     # Rows that repeat are one candidate that counts up to k times. This reduces before
     # it shuffles, so that however many there are, they don't meet in one shard.
@@ -92,24 +146,15 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
     def look(shard: pa.Table, block: pa.Table) -> pa.Table:
         out = []
         if shard.num_rows and block.num_rows:
-            x, asks = matrix(shard["v"]), matrix(block["v"])
-            if x.shape[1] * np.abs(x).max() * np.abs(asks).max() > EXACT:
-                raise OverflowError("scores beyond 2**53")
-            times = shard["n"].to_pylist()
-            keys, names, own_ids = shard["id"].to_pylist(), block["q"].to_pylist(), block["id"].to_pylist()
-            # nulls equal no id
-            ids = np.array([np.iinfo(np.int64).min if i is None else i for i in keys])
-            own = np.array([np.iinfo(np.int64).min + 1 if i is None else i for i in own_ids])
-            lists = Lists(ids, x)
+            held, asks = Shard(shard), matrix(block["v"])
+            names, own_ids = block["q"].to_pylist(), block["id"].to_pylist()
+            own = np.array([LEAST + 1 if i is None else i for i in own_ids])
             for i in range(0, len(asks), AT_ONCE):
-                part = asks[i : i + AT_ONCE]
-                for j, chosen in enumerate(lists.candidates(part, own[i : i + AT_ONCE], k)):
-                    scores = x[chosen] @ part[j]
-                    last = np.array([keys[c] is None for c in chosen.tolist()], bool)
+                for j, first in enumerate(held.best(asks[i : i + AT_ONCE], own[i : i + AT_ONCE], k), i):
                     left = k
-                    for c in np.lexsort((ids[chosen], last, -scores))[:k].tolist():
-                        out += [(names[i + j], own_ids[i + j], keys[chosen[c]], int(scores[c]))] * min(left, times[chosen[c]])
-                        left = max(0, left - times[chosen[c]])
+                    for row, score in first:
+                        out += [(names[j], own_ids[j], held.names[row], score)] * min(left, held.times[row])
+                        left = max(0, left - held.times[row])
         kinds = [("q", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())]
         return pa.table({n: pa.array([o[i] for o in out], t) for i, (n, t) in enumerate(kinds)})
 

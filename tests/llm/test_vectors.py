@@ -1,3 +1,6 @@
+from fractions import Fraction
+from math import floor
+
 import numpy as np
 import pytest
 
@@ -121,10 +124,23 @@ def test_bounds_keep_the_best(monkeypatch):
             assert j not in chosen[j]
 
 
-def test_scores_that_are_not_exact_are_an_error(llm):
-    frame = llm.createDataFrame([(0, [2.0**40]), (1, [2.0**40])], "vec_id long, vector array<double>")
-    with pytest.raises(Exception, match="beyond"):
-        topk.search(frame, frame).collect()
+def test_outliers_are_scored_exactly(llm, monkeypatch):
+    """Components beyond what sums in a double hold, among rows and queries; scores beyond a long."""
+    monkeypatch.setattr(topk, "SHARD_ROWS", 40)
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.uniform(-1, 1, 4).tolist()) for i in range(150)]
+    rows += [(200 + i, (rng.choice([-1, 1], 4) * 10.0 ** rng.integers(0, 11, 4)).tolist()) for i in range(60)]
+    rows += [(300, [3e38, 0.0, 0.0, 1.5]), (301, [-3e38, 3e38, 0.0, 0.0]), (302, [0.0, 2.0**60 + 512, -(2.0**60), 0.001]), (350, [2.0**-8, 0.0, 0.0, 0.0])]
+    frame = llm.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = frame.select("vec_id", topk.quantised(frame.embedding, 256).alias("vector"))
+    got = sorted((tuple(r) for r in topk.search(whole, whole.where("vec_id % 10 = 0")).collect()), key=repr)
+    scaled = [(i, [floor(256 * Fraction(x)) for x in v]) for i, v in rows]
+
+    def score(a, b):
+        return min(max(sum(x * y for x, y in zip(a, b, strict=True)), topk.LEAST), topk.MOST)
+
+    assert got == brute(scaled, [r for r in scaled if r[0] % 10 == 0], score)
+    assert {abs(g[3]) for g in got} >= {topk.MOST}
 
 
 def test_repeats_of_the_query_row_leave_its_copies(llm):
