@@ -323,10 +323,11 @@ def run(lang: str, phrases: pa.Array, counts: pa.Array) -> pa.RecordBatch:
 def runs(docs: DataFrame, sizes: list[int], words: Filter | None = None, pairs: Filter | None = None) -> DataFrame:
     """(lang, phrase, n) of all tasks; the empty phrase counts words, in the pass for words."""
     spark = docs.sparkSession
-    given = spark.sparkContext.broadcast((words, pairs))
+    # plain arrays: a worker may not have this package on its path
+    given = spark.sparkContext.broadcast([f and f.words for f in (words, pairs)])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counted(sizes, *given.value)
+        counter = Counted(sizes, *(None if w is None else Filter(w) for w in given.value))
         texts: dict[str, list[str]] = {}
         chars = 0
         for batch in batches:
