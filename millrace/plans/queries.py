@@ -15,9 +15,9 @@ from millrace.functions.parse import json_text
 from millrace.operators import cdc, dau, log_split, orders
 from millrace.operators.keyed import end_offsets as end_offsets_of
 from millrace.plans import standins as given
-from millrace.schemas import ORDER_WIDE, plus
+from millrace.schemas import DIMENSION_ROW, ORDER_WIDE, plus
 from millrace.session import shared_folder
-from millrace.sinks.batches import read_latest, write_batch
+from millrace.sinks.batches import read_batches, read_latest, write_batch
 from millrace.sources.tables import table
 
 # --- parsing and scalar functions ---
@@ -312,16 +312,16 @@ def sink_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Wide rows, then those of finished orders again with a new status."""
     path = shared_folder(spark) + "/order_wide"
     wide = orders.with_wide_day(order_wide(spark, sf))
-    times = F.when(F.col("order_status") == "F", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    written = wide.withColumn("version", F.explode(times)).withColumn(
-        "order_status", F.when(F.col("version") == 2, "S").otherwise(F.col("order_status"))
-    )
     # thousands of days, so a folder for each year
-    written = written.withColumn("year", F.substring("dt", 1, 4))
-    for version in (1, 2):
-        write_batch(written.where(F.col("version") == version), f"version-{version}", path, "year")
+    first = wide.withColumn("version", F.lit(1)).withColumn("year", F.substring("dt", 1, 4))
+    write_batch(first, "version-1", path, "year", shuffled=False)
     schema = plus(ORDER_WIDE, version=IntegerType(), dt=StringType(), year=StringType())
-    return read_latest(spark, path, schema, ["dt", "detail_id"], _WRITES).select(
+    # finished orders are found in the sink, not joined again
+    finished = read_batches(spark, path, schema).where((F.col("batch") == "version-1") & (F.col("order_status") == "F"))
+    second = finished.drop("batch").withColumns({"order_status": F.lit("S"), "version": F.lit(2)})
+    write_batch(second, "version-2", path, "year", shuffled=False)
+    needed = ["dt", "detail_id", "order_id", "sku_id", "order_status", "version", "order_price", "user_id"]
+    return read_latest(spark, path, schema, ["dt", "detail_id"], _WRITES, needed).select(
         "dt",
         orders.document_id().alias("doc_id"),
         "order_id",
@@ -335,13 +335,16 @@ def sink_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 def sink_by_day(spark: SparkSession, sf: str) -> DataFrame:
     """Stored per day by the sink itself, written twice as a repeated batch, read back."""
-    path = shared_folder(spark) + "/order_wide"
+    root = shared_folder(spark)
+    path = root + "/order_wide"
     wide = orders.with_wide_day(_wide(spark, sf, given.line_arrivals(spark, sf).drop("at")))
-    for _ in range(2):
-        write_batch(wide, "first", path, "dt")
+    # joined once, for both writes
+    wide.write.option("compression", "zstd").parquet(root + "/wide")
     schema = plus(ORDER_WIDE, dt=StringType())
-    stored = read_latest(spark, path, schema, ["dt", "detail_id"], _WRITES[1:])
-    return stored.select("dt", "detail_id", "order_id", "sku_id", "sku_num", "order_price", "user_age", "province_name")
+    for _ in range(2):
+        write_batch(spark.read.schema(schema).parquet(root + "/wide"), "first", path, "dt", shuffled=False)
+    needed = ["dt", "detail_id", "order_id", "sku_id", "sku_num", "order_price", "user_age", "province_name"]
+    return read_latest(spark, path, schema, ["dt", "detail_id"], _WRITES[1:], needed)
 
 
 def end_offsets(spark: SparkSession, sf: str) -> DataFrame:
