@@ -113,9 +113,12 @@ def json_whole_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cdc_dim_rows(spark: SparkSession, sf: str) -> DataFrame:
-    changes = cdc.parse_changes(given.changes(spark, sf))
-    rows = cdc.dimension_rows(changes, given.names(spark, given.DIM_TABLES))
-    current = cdc.current_rows(rows)
+    """Messages are parsed once, for both tables: the current rows are stored between."""
+    path = shared_folder(spark) + "/current"
+    dims = given.names(spark, given.DIM_TABLES)
+    changes = cdc.parse_changes(given.changes(spark, sf), dims)
+    cdc.current_rows(cdc.dimension_rows(changes, dims)).write.parquet(path)
+    current = spark.read.schema(DIMENSION_ROW).parquet(path)
     users = cdc.user_info(current).select(F.lit("user_info").alias("table"), "id", F.col("gender").alias("what"))
     provinces = cdc.base_province(current).select(
         F.lit("base_province").alias("table"), "id", F.col("name").alias("what")
