@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 # Bytes of an archive before compression, about. A task reads an archive whole.
 ARCHIVE_BYTES = 32_000_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -30,20 +31,19 @@ RECORD = (
 
 
 def base32(hexed: Column) -> Column:
-    """Base 32 of 40 hexadecimal digits: each five of them are four letters."""
-    letters = []
-    for i in range(1, 41, 5):
-        number = F.conv(F.substring(hexed, i, 5), 16, 10).cast("int")
-        letters += [F.substring(F.lit(ALPHABET), F.shiftright(number, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
-    return F.concat(*letters)
+    """Base 32 of 40 hexadecimal digits: each ten of them are eight digits of that base,
+    whose signs are then exchanged."""
+    eights = [F.lpad(F.conv(F.substring(hexed, i, 10), 16, 32), 8, "0") for i in range(1, 41, 10)]
+    return F.translate(F.concat(*eights), DIGITS, ALPHABET)
 
 
 def digested(pages: DataFrame) -> DataFrame:
-    """page_id, url, html and the payload's bytes and digest; null html is empty."""
+    """page_id, url, html and the payload's bytes and SHA-1, in hexadecimal digits; null
+    html is empty."""
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select("page_id", "url", payload.alias("html"))
     return rows.withColumn("bytes", F.octet_length("html").cast("long")).withColumn(
-        "digest", base32(F.sha1(F.col("html").cast("binary")))
+        "sha1", F.sha1(F.col("html").cast("binary"))
     )
 
 
@@ -59,16 +59,17 @@ def _line(name: str, value: Column) -> Column:
 
 
 def resolved(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """``digested`` with the page id of each payload's response, ``first``.
+    """``digested`` with the payload's digest in base 32 and the page id of its response,
+    ``first``. Rows meet by the SHA-1 as it is: only what is written is recoded, once.
 
     Records with equal payloads of at least ``least_bytes`` share the smallest page id,
     and null if none has one; smaller ones are their own. Pages that repeat both a
     response's id and payload are responses too.
     """
     rows = digested(pages)
-    firsts = rows.groupBy("digest").agg(F.min("page_id").alias("_least"))
+    firsts = rows.groupBy("sha1").agg(F.min("page_id").alias("_least"), base32(F.col("sha1")).alias("digest"))
     own = F.when(F.col("bytes") >= least_bytes, F.col("_least")).otherwise(F.col("page_id"))
-    return rows.join(firsts, "digest").withColumn("first", own).drop("_least")
+    return rows.join(firsts, "sha1").withColumn("first", own).drop("_least", "sha1")
 
 
 def records(rows: DataFrame, date: str) -> DataFrame:
