@@ -338,14 +338,13 @@ def sink_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 def sink_by_day(spark: SparkSession, sf: str) -> DataFrame:
     """Stored per day by the sink itself, written twice as a repeated batch, read back."""
-    root = shared_folder(spark)
-    path = root + "/order_wide"
+    path = shared_folder(spark) + "/order_wide"
     wide = orders.with_wide_day(_wide(spark, sf, given.line_arrivals(spark, sf).drop("at")))
-    # joined once, for both writes
-    wide.write.option("compression", "zstd").parquet(root + "/wide")
+    write_batch(wide, "first", path, "dt", shuffled=False)
     schema = plus(ORDER_WIDE, dt=StringType())
-    for _ in range(2):
-        write_batch(spark.read.schema(schema).parquet(root + "/wide"), "first", path, "dt", shuffled=False)
+    # the repeat finds its rows in the sink: they are neither joined again nor kept beside it
+    again = read_batches(spark, path, schema).where(F.col("batch") == "first").drop("batch")
+    write_batch(again, "first", path, "dt", shuffled=False)
     needed = ["dt", "detail_id", "order_id", "sku_id", "sku_num", "order_price", "user_age", "province_name"]
     return read_latest(spark, path, schema, ["dt", "detail_id"], _WRITES[1:], needed)
 
